@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import scores
 from ..functions.numbers import at_least
 from ..sources.staging import stage
-from .heavy import group_median
+from .heavy import exact_quantiles, group_median
 
 FORECAST = "forecast_orders"
 
@@ -72,11 +72,18 @@ class MedianForecaster(Forecaster):
         self.overall: float = 0.0
 
     def fit(self, df: DataFrame, validation: DataFrame | None = None) -> "MedianForecaster":
-        self.overall = overall_median(df, self.target).first().overall_median
-        if set(self.keys) <= set(df.columns):
-            self.medians = stage(median_table(df, self.keys, self.target), "medians")
-        else:
-            self.medians = None
+        """The frame is read once: value counts per group also add up to those of all rows."""
+        keys = self.keys if set(self.keys) <= set(df.columns) else []
+        value = F.col(self.target).cast("double").alias("value")
+        rows = df.select(*keys, value).filter("value IS NOT NULL AND NOT isnan(value)")
+        counts = stage(rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("weight")), "value-counts")
+        whole = counts.groupBy("value").agg(F.sum("weight").alias("weight"))
+        found = exact_quantiles(whole, [], [0.5]).first()
+        self.overall = found.quantiles[0] if found else 0.0
+        self.medians = None
+        if keys:
+            medians = exact_quantiles(counts.dropna(subset=keys), keys, [0.5])
+            self.medians = stage(medians.select(*keys, F.col("quantiles")[0].alias("group_median")), "medians")
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -50,15 +50,28 @@ def _probabilities(pieces: int) -> list[float]:
     return [i / pieces for i in range(1, pieces)]
 
 
+STRIDE = 16
+
+
 def _splits(df: DataFrame, keys: Sequence[str], value: Column, pieces: int, *extra: Column) -> DataFrame:
-    """Per group: increasing split points of ``value``. The sketch merges on the map side."""
-    points = F.percentile_approx(value, _probabilities(pieces), ACCURACY)
-    return df.groupBy(*keys).agg(F.array_sort(F.array_distinct(points)).alias("splits"), *extra)
+    """Per group: increasing split points of ``value``, and every 16th of them.
+
+    The sketch merges on the map side.
+    """
+    points = F.array_sort(F.array_distinct(F.percentile_approx(value, _probabilities(pieces), ACCURACY)))
+    coarse = F.filter("fine", lambda s, i: i % STRIDE == STRIDE - 1)
+    found = df.groupBy(*keys).agg(points.alias("fine"), *extra)
+    return found.withColumn("splits", F.struct(coarse.alias("coarse"), F.col("fine"))).drop("fine")
 
 
 def _piece(value: Column) -> Column:
-    """Number of split points below the value: non-decreasing in the value, 0 without splits."""
-    return F.coalesce(F.size(F.filter("splits", lambda s: s < value)), F.lit(0))
+    """Number of split points below the value: non-decreasing in the value, 0 without splits.
+
+    Compares with every 16th split first and then only with those between two of them.
+    """
+    start = F.size(F.filter("splits.coarse", lambda s: s < value)) * STRIDE
+    near = F.filter(F.slice("splits.fine", start + 1, F.lit(STRIDE)), lambda s: s < value)
+    return F.when(F.col("splits").isNull(), 0).otherwise(start + F.size(near))
 
 
 def cut_series(
@@ -130,6 +143,23 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str | Column) -> Dat
     )
 
 
+def _between(low: Column, high: Column, part: Column) -> Column:
+    """Linear interpolation that meets both ends exactly."""
+    return F.when(part < 0.5, low + (high - low) * part).otherwise(high - (high - low) * (1 - part))
+
+
+def _pick(ranked: DataFrame, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """(keys, quantiles) from rows with ``value``, ``upto`` (rows up to the value) and ``n`` (rows in all).
+
+    The value at 0-based position k is the smallest one with more than k rows up to it.
+    """
+    place = [F.lit(float(p)) * (F.col("n") - 1) for p in probabilities]
+    ends = [F.min(F.when(F.col("upto") > edge(k), F.col("value"))) for k in place for edge in (F.floor, F.ceil)]
+    found = ranked.groupBy(*keys).agg(F.first("n").alias("n"), *[e.alias(f"k{i}") for i, e in enumerate(ends)])
+    parts = [_between(F.col(f"k{2 * i}"), F.col(f"k{2 * i + 1}"), k - F.floor(k)) for i, k in enumerate(place)]
+    return found.select(*keys, F.array(*parts).alias("quantiles"))
+
+
 def exact_quantiles(
     counts: DataFrame,
     keys: Sequence[str],
@@ -141,50 +171,40 @@ def exact_quantiles(
 ) -> DataFrame:
     """(keys, quantiles): exact quantiles with linear interpolation, from ``value_counts`` rows.
 
-    Groups with few distinct values use ``percentile`` over (value, weight). For the others the piece
-    that holds each wanted position is found from piece totals, and only those pieces are ordered.
+    Groups with few distinct values are ordered as a whole. For the others the piece that holds each
+    wanted position is found from piece totals, and only those pieces are ordered.
     """
     counts = counts.filter(F.col(weight) > 0).select(*keys, "value", F.col(weight).alias("weight"))
+    names = list(keys) or ["all_rows"]
     if not keys:
-        counts, keys, whole = counts.withColumn("all_rows", F.lit(1)), ["all_rows"], True
-    else:
-        keys, whole = list(keys), False
-    heavy = heavy_groups(counts, keys, light_rows, share, [F.sum("weight").alias("n")])
-    light = (
-        counts.join(F.broadcast(heavy), keys, "left_anti")
-        .groupBy(*keys)
-        .agg(F.percentile("value", list(probabilities), F.col("weight")).alias("quantiles"))
-    )
-
-    value = F.col("value")
-    large = counts.join(F.broadcast(heavy.select(*keys, "n")), keys)
-    splits = _splits(large, keys, value, pieces)
-    large = large.join(F.broadcast(splits), keys).withColumn("piece", _piece(value)).drop("splits")
-    # At most share * pieces rows from here to the broadcast.
-    totals = large.groupBy(*keys, "piece").agg(F.sum("weight").alias("inside"), F.first("n").alias("n"))
-    running = Window.partitionBy(*keys).orderBy("piece")
-    totals = totals.withColumn("below", F.sum("inside").over(running) - F.col("inside"))
+        counts = counts.withColumn("all_rows", F.lit(1))
+    heavy = heavy_groups(counts, names, light_rows, share, [F.sum("weight").alias("n")])
 
-    def at(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("n") - 1)
+    whole = Window.partitionBy(*names)
+    upwards = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    light = counts.join(F.broadcast(heavy), names, "left_anti").select(
+        "*", F.sum("weight").over(whole).alias("n"), F.sum("weight").over(upwards).alias("upto")
+    )
 
-    wanted = [edge(at(p)) for p in probabilities for edge in (F.floor, F.ceil)]
+    large = counts.join(F.broadcast(heavy.select(*names, "n")), names)
+    splits = _splits(large, names, F.col("value"), pieces)
+    large = large.join(F.broadcast(splits), names).withColumn("piece", _piece(F.col("value"))).drop("splits")
+    # At most share * pieces rows.
+    totals = large.groupBy(*names, "piece").agg(F.sum("weight").alias("inside"), F.first("n").alias("n"))
+    below = F.sum("inside").over(Window.partitionBy(*names).orderBy("piece")) - F.col("inside")
+    totals = totals.withColumn("below", below)
     holds = F.lit(False)
-    for k in wanted:
-        holds = holds | ((k >= F.col("below")) & (k < F.col("below") + F.col("inside")))
-    near = large.join(F.broadcast(totals.filter(holds).select(*keys, "piece", "below")), [*keys, "piece"])
-    inside = Window.partitionBy(*keys, "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    near = near.withColumn("upto", F.col("below") + F.sum("weight").over(inside))
-    picked = near.groupBy(*keys).agg(
-        F.first("n").alias("n"),
-        *[F.min(F.when(F.col("upto") > k, value)).alias(f"k{i}") for i, k in enumerate(wanted)],
+    for p in probabilities:
+        for edge in (F.floor, F.ceil):
+            k = edge(F.lit(float(p)) * (F.col("n") - 1))
+            holds = holds | ((k >= F.col("below")) & (k < F.col("below") + F.col("inside")))
+    wanted = totals.filter(holds).select(*names, "piece", "below")
+    inside = Window.partitionBy(*names, "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    near = large.join(F.broadcast(wanted), [*names, "piece"]).withColumn(
+        "upto", F.col("below") + F.sum("weight").over(inside)
     )
-    parts = []
-    for i, p in enumerate(probabilities):
-        low, high, share_up = F.col(f"k{2 * i}"), F.col(f"k{2 * i + 1}"), at(p) - F.floor(at(p))
-        parts.append(F.when(low == high, low).otherwise(low * (1 - share_up) + high * share_up))
-    result = light.unionByName(picked.select(*keys, F.array(*parts).alias("quantiles")))
-    return result.drop("all_rows") if whole else result
+    result = _pick(light, names, probabilities).unionByName(_pick(near, names, probabilities))
+    return result if keys else result.drop("all_rows")
 
 
 def cumulate(

@@ -50,7 +50,7 @@ def elasticity(actual: str, price: str = "checkout_price") -> Column:
         (F.count(F.lit(1)) >= 5) & (F.stddev_pop(price) > 1e-3) & (F.stddev_pop(actual) > 1e-3)
     )
     slope = F.when(enough, F.regr_slope(log_demand, log_price))
-    return F.coalesce(F.when(~F.isnan(slope), _clip(slope, ELASTICITY_RANGE)), F.lit(NO_ELASTICITY))
+    return F.coalesce(F.when(slope.isNotNull() & ~F.isnan(slope), _clip(slope, ELASTICITY_RANGE)), F.lit(NO_ELASTICITY))
 
 
 def profile_numbers(

@@ -283,9 +283,18 @@ def long(features=DRIFT_FEATURES) -> str:
     return "long AS (" + " UNION ALL ".join(parts) + ")"
 
 
-EDGES = """edges AS (
-  SELECT feature, list_sort(list_distinct(quantile_cont(v, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e
-  FROM long WHERE side = 'baseline' GROUP BY feature),
+# Quantiles by linear interpolation between neighbours, measured from the nearer one.
+EDGES = """ordered AS (
+  SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) - 1 AS k, count(*) OVER (PARTITION BY feature) AS n
+  FROM long WHERE side = 'baseline'),
+places AS (
+  SELECT feature, (i / 10.0::DOUBLE) * (n - 1) AS pos FROM (SELECT DISTINCT feature, n FROM ordered), range(11) t(i)),
+points AS (
+  SELECT places.feature, CASE WHEN pos - floor(pos) < 0.5 THEN lo.v + (hi.v - lo.v) * (pos - floor(pos))
+         ELSE hi.v - (hi.v - lo.v) * (1 - (pos - floor(pos))) END AS point
+  FROM places JOIN ordered lo ON lo.feature = places.feature AND lo.k = floor(pos)
+  JOIN ordered hi ON hi.feature = places.feature AND hi.k = ceil(pos)),
+edges AS (SELECT feature, list_sort(list(DISTINCT point)) AS e FROM points GROUP BY feature),
 binned AS (
   SELECT long.feature, side, len(list_filter(e[2:len(e) - 1], lambda x: x <= v)) AS bin, count(*) AS n, len(any_value(e)) AS m
   FROM long JOIN edges USING (feature) GROUP BY ALL),

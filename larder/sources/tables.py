@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +12,16 @@ from .contracts import CONTRACTS, DataContractError, TableContract
 MANDATORY = ("train", "centers", "meals")
 
 
+def _whole(name: str, kind: str):
+    """An integer column from text; "3.0" is accepted, "3.5" is an error and not silently cut off."""
+    number = F.col(name).cast("double")
+    wrong = F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), F.col(name)))
+    return F.when(number.isNull() | F.isnan(number), None).when(number == F.floor(number), number.cast(kind)).otherwise(wrong)
+
+
 def typed(df: DataFrame, contract: TableContract) -> DataFrame:
     """Cast the known columns by name and turn NaN into NULL; other columns are kept as they are."""
+    text = {name for name, kind in df.dtypes if kind == "string"}
 
     def one(name: str):
         kind = contract.columns.get(name)
@@ -21,9 +29,8 @@ def typed(df: DataFrame, contract: TableContract) -> DataFrame:
             return F.col(name)
         if kind == "double":
             return clean(name).alias(name)
-        # "3.0" is an accepted spelling of an integer, as pandas writes it for nullable columns.
-        if kind in ("int", "bigint"):
-            return F.col(name).cast("double").cast(kind).alias(name) if dict(df.dtypes)[name] == "string" else F.col(name).cast(kind).alias(name)
+        if kind in ("int", "bigint") and name in text:
+            return _whole(name, kind).alias(name)
         return F.col(name).cast(kind).alias(name)
 
     return df.select(*[one(c) for c in df.columns])
@@ -63,7 +70,10 @@ def load_tables(
             if key in MANDATORY:
                 raise FileNotFoundError(f"{file} is required in {folder}") from err
     if validate:
-        for key, df in tables.items():
-            check_table(df, CONTRACTS[key])
-        check_relationships(tables)
+        try:
+            for key, df in tables.items():
+                check_table(df, CONTRACTS[key])
+            check_relationships(tables)
+        except PySparkException as err:
+            raise DataContractError(f"cannot read the tables in {folder}: {err}") from err
     return tables
