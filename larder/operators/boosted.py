@@ -212,7 +212,7 @@ def driver_attribution(
         f: F.when(F.col("_shuffled") == f, F.col(f"_other.{f}")).otherwise(F.col(f)).alias(f) for f in features
     }
     scored = forecaster.transform(
-        each.select("_shuffled", *[shown.get(c, F.col(c)) for c in df.columns if c in features or c == forecaster.target])
+        each.select("_shuffled", *[shown.get(c, F.col(c)) for c in df.columns])
     )
     errors = scored.groupBy("_shuffled").agg(scores.wmape(forecaster.target, FORECAST).alias("wmape"))
     # One row per feature and one for the untouched frame.

@@ -60,7 +60,7 @@ def apply_medians(df: DataFrame, medians: DataFrame, overall: Column, keys: Sequ
     """Group median where the group is known, else the overall median, clipped at 0."""
     known = df.join(medians, list(keys), "left")
     forecast = at_least(F.coalesce("group_median", overall), 0.0)
-    return known.select(*df.columns, forecast.alias(FORECAST))
+    return known.select(*[c for c in df.columns if c != FORECAST], forecast.alias(FORECAST))
 
 
 class MedianForecaster(Forecaster):

@@ -12,7 +12,11 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(4, "larder-tests", shuffle_partitions=4)
+    session = local_session(4, "larder-tests", shuffle_partitions=4)
+    # Hundreds of tiny plans: compiling each one takes longer than interpreting it.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+    return session
 
 
 @pytest.fixture(scope="session")
