@@ -69,6 +69,7 @@ def psi(counts: DataFrame, bins: int = BINS, light_rows: int = LIGHT_ROWS, piece
         pieces=pieces,
     ).select("feature", F.array_sort(F.array_distinct("quantiles")).alias("edges"))
     # One row of at most bins + 1 numbers per feature.
+    edges = stage(edges, "edges")
     binned = counts.join(F.broadcast(edges), "feature").withColumn(
         "bin",
         F.size(F.filter(F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0))), lambda e: e <= F.col("value"))),

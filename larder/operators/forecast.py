@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scores
 from ..functions.numbers import at_least
@@ -56,6 +57,34 @@ def overall_median(df: DataFrame, target: str, **limits) -> DataFrame:
     )
 
 
+def _some_value(kind: T.DataType) -> Column:
+    """Any non-null value of a key type."""
+    text = {T.StringType: "", T.BooleanType: "false", T.DateType: "1970-01-01"}.get(type(kind))
+    if text is None:
+        text = "0" if isinstance(kind, T.NumericType) else "1970-01-01 00:00:00"
+    return F.lit(text).cast(kind)
+
+
+def median_levels(df: DataFrame, keys: Sequence[str], target: str, by: Sequence[str] = ()) -> DataFrame:
+    """(level, by, keys, median): level 1 has the median per (by, keys), level 0 the one per ``by``.
+
+    The frame is read once: its value counts per group are written and also add up to those of the
+    whole, which is then ordered like one more group. At level 0 the keys have no meaning.
+    """
+    by, keys = list(by), list(keys)
+    value = F.col(target).cast("double").alias("value")
+    rows = df.select(*by, *keys, value).filter("value IS NOT NULL AND NOT isnan(value)")
+    counts = stage(rows.groupBy(*by, *keys, "value").agg(F.count(F.lit(1)).alias("weight")), "value-counts")
+    whole = counts.groupBy(*by, "value").agg(F.sum("weight").alias("weight"))
+    unused = [_some_value(counts.schema[k].dataType).alias(k) for k in keys]
+    both = whole.select(F.lit(0).alias("level"), *by, *unused, "value", "weight")
+    if keys:
+        groups = counts.dropna(subset=keys)
+        both = both.unionByName(groups.select(F.lit(1).alias("level"), *by, *keys, "value", "weight"))
+    found = exact_quantiles(both, ["level", *by, *keys], [0.5])
+    return stage(found.select("level", *by, *keys, F.col("quantiles")[0].alias("median")), "medians")
+
+
 def apply_medians(df: DataFrame, medians: DataFrame, overall: Column, keys: Sequence[str]) -> DataFrame:
     """Group median where the group is known, else the overall median, clipped at 0."""
     known = df.join(medians, list(keys), "left")
@@ -72,18 +101,12 @@ class MedianForecaster(Forecaster):
         self.overall: float = 0.0
 
     def fit(self, df: DataFrame, validation: DataFrame | None = None) -> "MedianForecaster":
-        """The frame is read once: value counts per group also add up to those of all rows."""
         keys = self.keys if set(self.keys) <= set(df.columns) else []
-        value = F.col(self.target).cast("double").alias("value")
-        rows = df.select(*keys, value).filter("value IS NOT NULL AND NOT isnan(value)")
-        counts = stage(rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("weight")), "value-counts")
-        whole = counts.groupBy("value").agg(F.sum("weight").alias("weight"))
-        found = exact_quantiles(whole, [], [0.5]).first()
-        self.overall = found.quantiles[0] if found else 0.0
-        self.medians = None
-        if keys:
-            medians = exact_quantiles(counts.dropna(subset=keys), keys, [0.5])
-            self.medians = stage(medians.select(*keys, F.col("quantiles")[0].alias("group_median")), "medians")
+        levels = median_levels(df, keys, self.target)
+        whole = levels.filter("level = 0").first()
+        self.overall = whole.median if whole else 0.0
+        groups = levels.filter("level = 1").select(*keys, F.col("median").alias("group_median"))
+        self.medians = groups if keys else None
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -71,7 +71,8 @@ def _piece(value: Column) -> Column:
     """
     start = F.size(F.filter("splits.coarse", lambda s: s < value)) * STRIDE
     near = F.filter(F.slice("splits.fine", start + 1, F.lit(STRIDE)), lambda s: s < value)
-    return F.when(F.col("splits").isNull(), 0).otherwise(start + F.size(near))
+    # Never null, so that a join on it needs no null check that would work it out once more.
+    return F.coalesce(start + F.size(near), F.lit(0))
 
 
 def cut_series(
@@ -182,15 +183,18 @@ def exact_quantiles(
 
     whole = Window.partitionBy(*names)
     upwards = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    light = counts.join(F.broadcast(heavy), names, "left_anti").select(
-        "*", F.sum("weight").over(whole).alias("n"), F.sum("weight").over(upwards).alias("upto")
+    light = counts.join(F.broadcast(heavy), names, "left_anti")
+    # The running window comes first: its sort then serves the other one too.
+    light = light.withColumn("upto", F.sum("weight").over(upwards)).withColumn("n", F.sum("weight").over(whole))
+
+    # First pass over the heavy groups: rows per piece, at most share * (pieces + 1) numbers.
+    splits = _splits(counts.join(F.broadcast(heavy.select(*names, "n")), names), names, F.col("value"), pieces, F.first("n").alias("n"))
+    totals = (
+        counts.join(F.broadcast(splits), names)
+        .withColumn("piece", _piece(F.col("value")))
+        .groupBy(*names, "piece")
+        .agg(F.sum("weight").alias("inside"), F.first("n").alias("n"))
     )
-
-    large = counts.join(F.broadcast(heavy.select(*names, "n")), names)
-    splits = _splits(large, names, F.col("value"), pieces)
-    large = large.join(F.broadcast(splits), names).withColumn("piece", _piece(F.col("value"))).drop("splits")
-    # At most share * pieces rows.
-    totals = large.groupBy(*names, "piece").agg(F.sum("weight").alias("inside"), F.first("n").alias("n"))
     below = F.sum("inside").over(Window.partitionBy(*names).orderBy("piece")) - F.col("inside")
     totals = totals.withColumn("below", below)
     holds = F.lit(False)
@@ -198,10 +202,24 @@ def exact_quantiles(
         for edge in (F.floor, F.ceil):
             k = edge(F.lit(float(p)) * (F.col("n") - 1))
             holds = holds | ((k >= F.col("below")) & (k < F.col("below") + F.col("inside")))
-    wanted = totals.filter(holds).select(*names, "piece", "below")
+    # Second pass: only the values between the split points around a wanted piece.
+    wanted = totals.filter(holds).join(F.broadcast(splits.drop("n")), names)
+    wanted = wanted.select(
+        *names,
+        "n",
+        "piece",
+        "below",
+        F.get("splits.fine", F.col("piece") - 1).alias("above_split"),
+        F.get("splits.fine", F.col("piece")).alias("upto_split"),
+    )
+    here = (F.col("above_split").isNull() | (F.col("value") > F.col("above_split"))) & (
+        F.col("upto_split").isNull() | (F.col("value") <= F.col("upto_split"))
+    )
     inside = Window.partitionBy(*names, "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    near = large.join(F.broadcast(wanted), [*names, "piece"]).withColumn(
-        "upto", F.col("below") + F.sum("weight").over(inside)
+    near = (
+        counts.join(F.broadcast(wanted), names)
+        .filter(here)
+        .withColumn("upto", F.col("below") + F.sum("weight").over(inside))
     )
     result = _pick(light, names, probabilities).unionByName(_pick(near, names, probabilities))
     return result if keys else result.drop("all_rows")
@@ -218,18 +236,16 @@ def cumulate(
     """
     splits = _splits(counts, [key], F.col("value"), pieces)
     cut = counts.join(F.broadcast(splits), key).withColumn("piece", _piece(F.col("value"))).drop("splits")
+    inside = Window.partitionBy(key, "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    # Both uses of these rows share one shuffle by (key, piece).
+    local = cut.select(key, "piece", "value", *weights, *[F.sum(w).over(inside).alias(f"local_{w}") for w in weights])
     running = Window.partitionBy(key).orderBy("piece")
-    totals = cut.groupBy(key, "piece").agg(*[F.sum(w).alias(f"in_{w}") for w in weights])
-    totals = totals.select(
+    ends = local.groupBy(key, "piece").agg(*[F.max(f"local_{w}").alias(f"in_{w}") for w in weights])
+    below = ends.select(
         key, "piece", *[(F.sum(f"in_{w}").over(running) - F.col(f"in_{w}")).alias(f"below_{w}") for w in weights]
     )
-    cut = cut.join(F.broadcast(totals), [key, "piece"])
-    inside = Window.partitionBy(key, "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return cut.select(
-        key,
-        "value",
-        *weights,
-        *[(F.col(f"below_{w}") + F.sum(w).over(inside)).alias(f"upto_{w}") for w in weights],
+    return local.join(F.broadcast(below), [key, "piece"]).select(
+        key, "value", *weights, *[(F.col(f"below_{w}") + F.col(f"local_{w}")).alias(f"upto_{w}") for w in weights]
     )
 
 

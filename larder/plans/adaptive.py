@@ -179,9 +179,7 @@ class AdaptiveLoop:
         number = self.iteration if batch_id is None else batch_id
         if actual not in batch.columns and "actual_orders" in batch.columns:
             actual = "actual_orders"
-        batch = stage(batch, "batch")
         corrected, self.profiles = correct_batch(batch, self.champion, actual, self.rate)
-        corrected = stage(corrected, "corrected")
         if self.profiles_folder:
             self.profiles.write.mode("overwrite").parquet(f"{self.profiles_folder}/batch_id={number}")
         row = batch_scores(corrected, actual).first()

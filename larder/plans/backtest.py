@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scores
-from ..operators.forecast import FORECAST, Forecaster, score
-from ..operators.heavy import group_median
+from ..operators.forecast import FORECAST, Forecaster, median_levels, score
 from ..functions.numbers import at_least
 from ..operators.slices import sliced_scores
 from ..sources.staging import stage
@@ -114,8 +113,9 @@ def median_predictions(
     keys = list(keys)
     slim = in_folds(df.select(*keys, walk.time, walk.target), bounds, "train", walk)
     train_rows = slim.groupBy("fold_index").agg(F.count(F.lit(1)).alias("train_samples"))
-    medians = stage(group_median(slim, ["fold_index", *keys], walk.target, "group_median"), "fold-medians")
-    overall = group_median(slim, ["fold_index"], walk.target, "overall_median")
+    levels = median_levels(slim, keys, walk.target, by=["fold_index"])
+    medians = levels.filter("level = 1").select("fold_index", *keys, F.col("median").alias("group_median"))
+    overall = levels.filter("level = 0").select("fold_index", F.col("median").alias("overall_median"))
     # One row per fold; the inner join leaves out folds without training rows.
     test = in_folds(df, bounds, "test", walk).join(F.broadcast(overall), "fold_index")
     found = test.join(medians, ["fold_index", *keys], "left")

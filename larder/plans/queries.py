@@ -698,7 +698,7 @@ def category_codes(spark, d):
 
 
 def _sides(spark, d) -> DataFrame:
-    return stage(split.half_split(stage(priced(panel(spark, d)), "priced")), "sides")
+    return split.half_split(stage(priced(panel(spark, d)), "priced"))
 
 
 @query
