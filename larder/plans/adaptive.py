@@ -102,8 +102,23 @@ class FeedbackLog:
         return found.select(*names)
 
     def read(self) -> DataFrame:
-        """The newest ``max_history`` records."""
-        return last_history(self.everything(), self.max_history)
+        """The newest ``max_history`` records.
+
+        Whole batches are kept from the newest on; only the one that crosses the limit is ordered, so
+        neither older batches are read nor the kept ones sorted.
+        """
+        log = self.everything()
+        # One row per batch, from the folder names and row counts.
+        sizes = sorted(log.groupBy("batch_id").count().collect(), reverse=True)
+        room = self.max_history
+        whole = []
+        for batch_id, n in sizes:
+            if n > room:
+                kept = log.filter(F.col("batch_id").isin(whole))
+                return kept.unionByName(last_history(log.filter(F.col("batch_id") == batch_id), room)) if room else kept
+            whole.append(batch_id)
+            room -= n
+        return log
 
     def summary(self) -> DataFrame:
         return feedback_summary(self.read())

@@ -223,8 +223,8 @@ def model_persistence(spark, d):
     return forecast.compare({"kept": model.transform(test), "loaded": loaded.transform(test)}, "kept")
 
 
-def _log(spark, d) -> adaptive.FeedbackLog:
-    log = adaptive.FeedbackLog(spark, fresh_folder(spark, "feedback"))
+def _log(spark, d, max_history: int = 100_000) -> adaptive.FeedbackLog:
+    log = adaptive.FeedbackLog(spark, fresh_folder(spark, "feedback"), max_history)
     scored = stage(split_scored(staged_panel(spark, d)), "scored")
     log.record(val_weeks(scored), 1)
     log.record(test_weeks(scored), 2)
@@ -742,7 +742,7 @@ def profiles_head(spark, d):
 
 @query
 def last_n_history(spark, d):
-    return explore.last_history(_log(spark, d).everything(), 500).drop("recorded_at")
+    return _log(spark, d, 500).read().drop("recorded_at")
 
 
 @query
