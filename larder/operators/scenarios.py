@@ -43,7 +43,6 @@ CAUTION = "CAUTION: Some scenario responses violated theoretical directions."
 TOLERANCE = 5.0
 SURGE, SALE, SALE_DEPTH, DEPTH_CAP = 1.30, 0.65, 0.35, 0.9
 
-_PRICE = ("checkout_price",)
 _FLAGS = ("emailer_for_promotion", "homepage_featured", "both_promos", "any_promo")
 
 

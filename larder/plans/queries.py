@@ -19,7 +19,7 @@ from ..config import BoostSpec, FeatureSpec, Settings, WeekSplit
 from ..functions import pricing, scores, stock
 from ..functions.numbers import half_up
 from ..operators import drift, explore, features, forecast, inventory, profiles, quality, scenarios, series, slices, split
-from ..operators.boosted import BoostedForecaster, challenger_spec, driver_attribution
+from ..operators.boosted import BoostedForecaster, challenger_spec, driver_attribution as shuffle_features
 from ..operators.elastic import ProfileForecaster
 from ..operators.forecast import FORECAST, MedianForecaster
 from ..operators.heavy import group_median, value_counts, exact_quantiles
@@ -1025,9 +1025,9 @@ def feature_importance(spark, d):
 
 
 @query
-def driver_attribution_shuffled(spark, d):
+def driver_attribution(spark, d):
     model, frame = elastic_scored(spark, d)
-    return tidy(driver_attribution(model, frame, ["center_id", "meal_id", "checkout_price", "any_promo"]))
+    return tidy(shuffle_features(model, frame, ["center_id", "meal_id", "checkout_price", "any_promo"]))
 
 
 @query
