@@ -7,9 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import tune
-from . import packing
-from .tables import read
+from . import packing, simhash
+from .tables import read, ready
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,13 +21,18 @@ BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(tune(spark), sf_dir)
+        return function(ready(spark), sf_dir)
 
     run.__doc__ = function.__doc__
     QUERIES[function.__name__] = run
     return run
 
 
+@query
+def op8_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(read(spark, sf_dir, "documents"))
+
+
 @query
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), BYTE_BPE, BYTE_RANKS)
