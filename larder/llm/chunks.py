@@ -122,6 +122,17 @@ def row_sums(values: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
     return np.bincount(rows, values, count).astype(np.int64)
 
 
+def rows_with(block: Block, *words: bytes) -> list[int]:
+    """Rows that hold one of the strings."""
+    raw, rows = block.data.tobytes(), set()
+    for word in words:
+        at = raw.find(word)
+        while at >= 0:
+            rows.add(int(np.searchsorted(block.starts, at, side="right")) - 1)
+            at = raw.find(word, at + 1)
+    return sorted(rows)
+
+
 class ByteBpe:
     """The ids of a byte-level BPE tokenizer file, chunk by chunk.
 
@@ -158,18 +169,7 @@ class ByteBpe:
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), counts
 
-    def _marked(self, block: Block) -> np.ndarray:
-        """Rows with an added token's string."""
-        raw = block.data.tobytes()
-        rows: set[int] = set()
-        for special in self.special:
-            at = raw.find(special)
-            while at >= 0:
-                rows.add(int(np.searchsorted(block.starts, at, side="right")) - 1)
-                at = raw.find(special, at + 1)
-        return np.array(sorted(rows), np.int64)
-
-    def _chunks(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _chunks(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]:
         data, starts = block.data, block.starts
         opens = np.zeros(len(data), bool)
         opens[:-1] = (data[:-1] == SPACE) & VISIBLE[data[1:]]
@@ -181,10 +181,10 @@ class ByteBpe:
         lengths = np.diff(np.append(begins, len(data)))
         rows = np.searchsorted(starts, begins, side="right") - 1
         begin, count, pool = self.table.entries_of(data, begins, lengths)
-        return rows, begin, count, pool, self._marked(block)
+        return rows, begin, count, pool, rows_with(block, *self.special)
 
-    def _by_row(self, block: Block, marked: np.ndarray) -> dict[int, np.ndarray]:
-        return {int(r): np.array(self.whole.encode(block.raw(r).decode(), add_special_tokens=False).ids, np.int32) for r in marked}
+    def _by_row(self, block: Block, marked: list[int]) -> dict[int, np.ndarray]:
+        return {r: np.array(self.whole.encode(block.raw(r).decode(), add_special_tokens=False).ids, np.int32) for r in marked}
 
     def counts(self, block: Block) -> np.ndarray:
         """Number of ids of each row."""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, simhash
+from ..session import fresh_folder
+from . import packing, pieces, simhash, tokencache
 from .tables import read, ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -28,11 +30,21 @@ def query(function: Query) -> Query:
     return run
 
 
+@query
+def op3_distinct_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(read(spark, sf_dir, "documents"), PIECE_BPE, ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 @query
 def op8_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
+@query
+def op9_digest_cache_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencache.token_counts(read(spark, sf_dir, "documents"), BYTE_BPE, fresh_folder(spark, "token-cache"))
+
+
 @query
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), BYTE_BPE, BYTE_RANKS)
