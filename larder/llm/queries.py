@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import fresh_folder
-from . import packing, pieces, simhash, tokencache
-from .tables import read, ready
+from . import ordinal, packing, pieces, simhash, tokencache, toxicity
+from .tables import read, ready, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,11 +31,26 @@ def query(function: Query) -> Query:
     return run
 
 
+@query
+def op2_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    scored = toxicity.toxicity(docs, labels, remainder("doc_id", 3) != 1)
+    return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 @query
 def op3_distinct_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"), PIECE_BPE, ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+@query
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    scored = ordinal.quality(docs, labels, remainder("doc_id", 3) != 1)
+    tails = [F.col("tails")[k].alias(f"tail_{k + 1}") for k in range(2)]
+    return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "expected_grade", *tails, "kept")
+
+
 @query
 def op8_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
