@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_folder
-from . import ordinal, packing, pieces, simhash, tokencache, toxicity
+from . import ordinal, outliers, packing, pieces, simhash, tokencache, toxicity
 from .tables import read, ready, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op3_distinct_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"), PIECE_BPE, ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+@query
+def op6_mcd_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.robust_outliers(read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
