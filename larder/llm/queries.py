@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_folder
-from . import ordinal, outliers, packing, pieces, simhash, tokencache, toxicity
+from . import languages, ordinal, outliers, packing, pieces, projections, simhash, tokencache, toxicity
 from .tables import read, ready, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,17 @@ def op3_distinct_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"), PIECE_BPE, ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+@query
+def op4_hyperdimensional_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = languages.identify(read(spark, sf_dir, "documents"), remainder("doc_id", 4) != 2)
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_mcd_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.robust_outliers(read(spark, sf_dir, "documents"))
