@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_folder
-from . import languages, ordinal, outliers, packing, pieces, projections, simhash, tokencache, toxicity
+from . import languages, ordinal, outliers, packing, pieces, projections, simhash, tokencache, toxicity, warc
 from .tables import read, ready, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def query(function: Query) -> Query:
     return run
 
 
+@query
+def op1_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_captures(spark, read(spark, sf_dir, "pages"), fresh_folder(spark, "archives"))
+
+
 @query
 def op2_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -80,3 +85,10 @@ def op9_digest_cache_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), BYTE_BPE, BYTE_RANKS)
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

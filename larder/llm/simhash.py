@@ -119,8 +119,3 @@ def simhash_components(
     found = components(links).withColumnsRenamed({"node": "rep", "component": "_least"})
     labels = classes.join(found, "rep", "left").select("fp", F.coalesce("_least", "rep").alias("component_id"))
     return prints.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_first(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, with all their columns."""
-    return docs.join(labelled.filter("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_semi")
