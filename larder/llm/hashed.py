@@ -128,20 +128,27 @@ def vocabulary(rows: DataFrame, least: int) -> np.ndarray:
     return np.sort(counted.select("f").toArrow().column("f").to_numpy().astype(np.int32))
 
 
-def restricted(rows: DataFrame, known: np.ndarray) -> DataFrame:
-    """Training rows with ``found`` as places in the vocabulary; features outside it are left out."""
+SHARD = "labels array<int>, sizes array<int>, found array<int>, counts array<int>"
+
+
+def shard_rows(rows: DataFrame, known: np.ndarray) -> DataFrame:
+    """The training rows by shard, one row each, written: labels, numbers of features, features and counts in order.
+
+    Features are places in the vocabulary here; those outside it are left out. A shard is bounded as the sample is.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(known)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, counts = (batch.column(k).flatten().to_numpy() for k in (3, 4))
-            row = np.repeat(np.arange(len(batch)), batch.column(3).value_lengths().to_numpy())
-            at, there = lookup(shared.value, found)
-            offsets = pa.array(np.searchsorted(row[there], np.arange(len(batch) + 1)), pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (at[there], counts[there])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=batch.schema.names)
+    def gathered(table):
+        table = table.sort_by("place").combine_chunks()
+        lists = [table.column(c).combine_chunks() for c in ("found", "counts")]
+        found, counts = (x.flatten().to_numpy() for x in lists)
+        row = np.repeat(np.arange(len(table)), lists[0].value_lengths().to_numpy())
+        at, there = lookup(shared.value, found)
+        sizes = np.bincount(row[there], minlength=len(table))
+        columns = [table.column("label").to_numpy(), sizes, at[there], counts[there]]
+        return pa.table([pa.array([c.astype(np.int32)]) for c in columns], names=["labels", "sizes", "found", "counts"])
 
-    return stage(rows.mapInArrow(work, TRAINING), "training")
+    return stage(rows.groupBy("shard").applyInArrow(gathered, SHARD), "shards")
 
 
 def lookup(known: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,37 +169,38 @@ def lookup(known: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray
 Learn = Callable[[list[np.ndarray], list[np.ndarray], list[np.ndarray], np.ndarray], list[np.ndarray]]
 
 
-def mixed_epochs(rows: DataFrame, state: list[np.ndarray], learn: Learn, epochs: int) -> list[np.ndarray]:
+def mixed_epochs(shards: DataFrame, state: list[np.ndarray], learn: Learn, epochs: int) -> list[np.ndarray]:
     """Trains by parameter mixing: every shard learns from the same state, and its changes are averaged each epoch.
 
     ``learn(state, found, counts, labels)`` runs over the rows of one shard and returns its new state, arrays of
-    equal length. Only the places that a shard changed come back, summed on the executors before the driver.
+    equal length. The places that a shard changed go to the driver: at most the vocabulary for each shard.
     """
-    context = rows.sparkSession.sparkContext
-    width = len(state)
-    names = [f"d{k}" for k in range(width)]
-    shards = rows.agg(F.count_distinct("shard")).first()[0]
+    context = shards.sparkSession.sparkContext
+    number = shards.count()
+    schema = pa.schema([("at", pa.list_(pa.int32())), *((f"d{k}", pa.list_(pa.float32())) for k in range(len(state)))])
+
     def step(shared):
-        def work(table):
-            table = table.sort_by("place").combine_chunks()
-            lists = [table.column(c).combine_chunks() for c in ("found", "counts")]
-            split = np.cumsum(lists[0].value_lengths().to_numpy())[:-1]
-            found, counts = (np.split(x.flatten().to_numpy(), split) for x in lists)
-            old = shared.value
-            new = learn([x.copy() for x in old], found, counts, table.column("label").to_numpy())
-            changed = np.flatnonzero(np.any([a != b for a, b in zip(old, new, strict=True)], axis=0))
-            deltas = [new[k][changed] - old[k][changed] for k in range(width)]
-            return pa.table([pa.array(changed), *map(pa.array, deltas)], names=["at", *names])
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in range(len(batch)):
+                    labels, sizes, found, counts = (c[row].values.to_numpy() for c in batch.columns)
+                    split = np.cumsum(sizes)[:-1]
+                    old = shared.value
+                    new = learn([x.copy() for x in old], np.split(found, split), np.split(counts, split), labels)
+                    changed = np.flatnonzero(np.any([a != b for a, b in zip(old, new, strict=True)], axis=0))
+                    columns = [changed, *(b[changed] - a[changed] for a, b in zip(old, new, strict=True))]
+                    yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
         return work
 
-    for _ in range(epochs if shards else 0):
+    for _ in range(epochs if number else 0):
         shared = context.broadcast(state)
-        moved = rows.groupBy("shard").applyInArrow(step(shared), ", ".join(["at long", *(f"{n} double" for n in names)]))
-        total = moved.groupBy("at").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
-        at = total.column("at").to_numpy()
+        kinds = ", ".join(["at array<int>", *(f"d{k} array<float>" for k in range(len(state)))])
         state = [x.copy() for x in state]
-        for x, name in zip(state, names, strict=True):
-            x[at] += total.column(name).to_numpy() / shards
+        for batch in shards.mapInArrow(step(shared), kinds).toArrow().to_batches():
+            for row in range(len(batch)):
+                at = batch.column(0)[row].values.to_numpy()
+                for x, delta in zip(state, batch.columns[1:], strict=True):
+                    x[at] += delta[row].values.to_numpy() / number
         shared.destroy()
     return state

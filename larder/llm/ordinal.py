@@ -108,10 +108,10 @@ def fit(docs: DataFrame, labelled: DataFrame, spec: OrdinalSpec = OrdinalSpec())
     rows = _with_totals(hashed.training_rows(docs, sample, hashed.style, spec.shards))
     known = hashed.vocabulary(rows, spec.least_rows)
     known = np.concatenate([[-1], known[known >= 0]]).astype(np.int32)  # -1 carries the totals along
-    rows = hashed.restricted(rows, known)
+    shards = hashed.shard_rows(rows, known)
     width = len(known)
     start = np.zeros(width + spec.grades - 1)
-    w, _ = hashed.mixed_epochs(rows, [start, start.copy()], adagrad(spec), spec.epochs)
+    w, _ = hashed.mixed_epochs(shards, [start, start.copy()], adagrad(spec), spec.epochs)
     return OrdinalModel(known[1:], w[1:width], thresholds(w[width], w[width + 1 :]))
 
 

@@ -72,8 +72,8 @@ def fit(docs: DataFrame, labelled: DataFrame, spec: FtrlSpec = FtrlSpec()) -> Sp
     sample = hashed.sampled(labelled, "label", spec.most_rows)
     rows = hashed.training_rows(docs, sample, hashed.grams, spec.shards)
     known = hashed.vocabulary(rows, spec.least_rows)
-    rows = hashed.restricted(rows, known)
-    z, n = hashed.mixed_epochs(rows, [np.zeros(len(known) + 1), np.zeros(len(known) + 1)], ftrl(spec), spec.epochs)
+    shards = hashed.shard_rows(rows, known)
+    z, n = hashed.mixed_epochs(shards, [np.zeros(len(known) + 1), np.zeros(len(known) + 1)], ftrl(spec), spec.epochs)
     scale = (spec.smooth + np.sqrt(n)) / spec.rate
     weights = -np.sign(z) * np.maximum(np.abs(z) - spec.l1, 0) / (scale + spec.l2)
     kept = np.flatnonzero(weights[:-1])
