@@ -15,7 +15,29 @@ from .tables import read, ready, remainder
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 # SQL that DuckDB runs on the same tables, where SQL can express the query.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_warc_captures": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        m AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS f FROM p)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+            CASE WHEN f <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN f <> page_id THEN f END AS refers_to, 1 AS n_requests, 1 AS n_metadata
+        FROM m""",
+    "op5_sorted_projections": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        l AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        r(vec_id, reached) AS (
+            SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.reached = l.a),
+        c AS (SELECT vec_id, min(reached) AS component_id FROM r GROUP BY vec_id),
+        n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+        SELECT c.vec_id, coalesce(n_links, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+        FROM c LEFT JOIN n ON c.vec_id = n.a""",
+}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")

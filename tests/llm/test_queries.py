@@ -1,0 +1,56 @@
+"""The registered queries of the subpackage run over whole tables and return the columns of their contracts."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from larder.llm.queries import ORACLES, QUERIES
+
+CONTRACTS = {
+    "op1_warc_captures": ("pages", "page_id", {"payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"}),
+    "op2_ftrl_toxicity": ("documents", "doc_id", {"held_out": "boolean", "score": "double", "predicted": "int"}),
+    "op3_distinct_chunk_pieces": ("documents", "doc_id", {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}),
+    "op4_hyperdimensional_languages": ("documents", "doc_id", {"held_out": "boolean", "lang_pred": "string", "score": "double"}),
+    "op5_sorted_projections": ("embeddings", "vec_id", {"n_links": "bigint", "component_id": "bigint", "kept": "boolean"}),
+    "op6_mcd_quality_rules": (
+        "documents",
+        "doc_id",
+        {**dict.fromkeys(["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"], "bigint"), "base_failed": "boolean", "kept": "boolean"},
+    ),
+    "op7_ordinal_quality": ("documents", "doc_id", {"expected_grade": "double", "kept": "boolean"}),
+    "op8_multi_index_simhash": ("documents", "doc_id", {"fingerprint": "string", "component_id": "bigint"}),
+    "op9_digest_cache_counts": ("documents", "doc_id", {"n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"}),
+}
+
+
+@pytest.mark.parametrize("name", sorted(CONTRACTS))
+def test_contract(spark, small, name):
+    table, key, columns = CONTRACTS[name]
+    df = QUERIES[name](spark, small)
+    kinds = dict(df.dtypes)
+    assert kinds[key] == "bigint" and {c: kinds.get(c) for c in columns} == columns
+    ids = sorted(r[key] for r in df.select(key).collect())
+    assert ids == sorted(r[key] for r in spark.read.parquet(f"{small}/{table}.parquet").select(key).collect())
+
+
+def test_packing_contract(spark, small):
+    kinds = dict(QUERIES["op10_pattern_packing"](spark, small).dtypes)
+    assert kinds == {"doc_id": "bigint", "piece": "int", **dict.fromkeys(["start", "length", "ids_crc32", "sequence_id", "offset"], "bigint")}
+
+
+def test_registry_has_them_all():
+    assert {f"op{n}_" for n in range(1, 11)} <= {name.split("_")[0] + "_" for name in QUERIES} and "pipeline" in QUERIES
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, small, name):
+    df = QUERIES[name](spark, small)
+    db = duckdb.connect()
+    for table in ("documents", "pages", "embeddings"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
+    cursor = db.execute(ORACLES[name])
+    columns = [d[0] for d in cursor.description]
+    assert sorted(columns) == sorted(df.columns)
+    got = sorted(repr(tuple(r)) for r in df.select(*columns).collect())
+    assert got == sorted(map(repr, cursor.fetchall()))
