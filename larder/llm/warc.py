@@ -183,14 +183,19 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """Records of all archives below ``folder``, plain or gzip-compressed.
 
     ``path, type, record_id, concurrent_to, target_uri, declared_digest, refers_to, head, http_head, payload``;
-    ``head`` has the record's header lines, ``payload`` is binary.
+    ``head`` has the record's header lines, ``payload`` is binary. Only a file in which a declared length does
+    not fit is read as a whole by one task.
     """
     pieces = spark.read.option("lineSep", f"{END}{VERSION}{CRLF}").text(folder)
-    pieces = pieces.select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", rf"\A{VERSION}\r\n", "").alias("value"))
+    raw = F.col("value").cast("binary")
+    first = F.startswith("value", F.lit(f"{VERSION}{CRLF}"))  # of a file: no separator before it
+    raw = F.when(first, F.substring(raw, F.lit(len(VERSION) + 3), F.octet_length("value"))).otherwise(raw)
+    pieces = pieces.select(F.col("_metadata.file_path").alias("path"), raw.alias("value"))
     # The header is text; the rest is cut off by bytes.
-    at = F.locate(END, F.col("value"))
-    head = F.when(at > 0, F.substring(F.col("value"), F.lit(1), at + 1))
-    body = F.substring(F.col("value").cast("binary"), F.octet_length(head) + 3, F.octet_length("value"))
+    text = F.col("value").cast("string")
+    at = F.locate(END, text)
+    head = F.when(at > 0, F.substring(text, F.lit(1), at + 1))
+    body = F.substring("value", F.octet_length(head) + 3, F.octet_length("value"))
     records = _parsed(pieces.select("path", head.alias("head"), body.alias("body")))
     broken = stage(records.filter(~F.coalesce("complete", F.lit(False)) | F.col("type").isNull()).select("path").distinct(), "broken")
     whole = records.join(broken, "path", "left_anti")
@@ -212,7 +217,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     if broken.isEmpty():
         return whole.drop("complete")
     files = spark.read.format("binaryFile").load(folder)
-    files = files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "content").join(broken, "path", "left_semi")
+    files = files.select(F.col("_metadata.file_path").alias("path"), "content").join(broken, "path", "left_semi")
     again = _parsed(files.mapInArrow(parse, "path string, head string, body binary"))
     return whole.union(again).drop("complete")
 
