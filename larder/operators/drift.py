@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import half_up, is_finite
 from ..sources.staging import stage
-from .heavy import LIGHT_ROWS, PIECES, cumulate, exact_quantiles
+from .heavy import LIGHT_ROWS, cumulate, exact_quantiles
 
 BINS = 10
 # Thresholds of the drift rules.
@@ -35,14 +35,22 @@ def two_sides(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -
 
 
 def side_counts(sided: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature, value, baseline_rows, current_rows) over finite values of a frame with ``side``."""
+    """(feature, value, baseline_rows, current_rows) over finite values of a frame with ``side``.
+
+    Each feature also has a row without a value and without rows, so that none gets lost for want of finite values.
+    """
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])
     long = sided.select("side", F.inline(pairs)).filter(is_finite("value"))
     # -0.0 and 0.0 are one value
-    return long.groupBy("feature", (F.col("value") + F.lit(0.0)).alias("value")).agg(
+    counts = long.groupBy("feature", (F.col("value") + F.lit(0.0)).alias("value")).agg(
         F.count_if(F.col("side") == "baseline").alias("baseline_rows"),
         F.count_if(F.col("side") == "current").alias("current_rows"),
     )
+    every = sided.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    none = F.lit(0).cast("bigint")
+    return counts.unionByName(
+        every.select("feature", F.lit(None).cast("double").alias("value"), none.alias("baseline_rows"), none.alias("current_rows"))
+    )
 
 
 def side_totals(counts: DataFrame) -> DataFrame:
@@ -58,7 +66,7 @@ def side_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("feature").agg(*out)
 
 
-def psi(counts: DataFrame, bins: int = BINS, light_rows: int = LIGHT_ROWS, pieces: int = PIECES) -> DataFrame:
+def psi(counts: DataFrame, bins: int = BINS, light_rows: int = LIGHT_ROWS, pieces: int | None = None) -> DataFrame:
     """(feature, psi): population stability index against quantile bins of the baseline."""
     edges = exact_quantiles(
         counts,
@@ -112,7 +120,7 @@ def ks_p_value(distance: Column, n: Column, m: Column, terms: int = 100) -> Colu
     return F.when(reach < 0.2, 1.0).otherwise(F.least(F.greatest(series * 2, F.lit(0.0)), F.lit(1.0)))
 
 
-def ks_test(counts: DataFrame, pieces: int = PIECES) -> DataFrame:
+def ks_test(counts: DataFrame, pieces: int | None = None) -> DataFrame:
     """(feature, ks_statistic, ks_p_value): two-sample Kolmogorov-Smirnov test."""
     totals = side_totals(counts)
     steps = cumulate(counts, "feature", ["baseline_rows", "current_rows"], pieces)

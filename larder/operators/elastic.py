@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import at_least
+from ..functions.numbers import at_least, clean
 from ..sources.staging import stage
 from .forecast import FORECAST, Forecaster
 from .profiles import uplift
@@ -17,7 +17,7 @@ class ProfileForecaster(Forecaster):
     """expm1(intercept + slope * ln(price)) per pair, times the uplift on promoted rows.
 
     Reacts to price and promotion and needs no training loop, which makes the scenarios checkable in SQL.
-    Unknown pairs get 0.
+    Rows without demand or price take no part in the fit. Unknown pairs get 0, known ones without a price null.
     """
 
     def __init__(self, keys: Sequence[str] = ("center_id", "meal_id"), target: str = "num_orders") -> None:
@@ -25,8 +25,8 @@ class ProfileForecaster(Forecaster):
         self.table: DataFrame | None = None
 
     def fit(self, df: DataFrame, validation: DataFrame | None = None) -> "ProfileForecaster":
-        y = F.log1p(F.greatest(F.col(self.target), F.lit(0.0)))
-        x = F.log(F.greatest(F.col("checkout_price"), F.lit(1.0)))
+        y = F.log1p(at_least(clean(self.target), 0.0))
+        x = F.log(at_least(clean("checkout_price"), 1.0))
         fitted = (
             df.dropna(subset=self.keys)
             .groupBy(*self.keys)
@@ -40,10 +40,10 @@ class ProfileForecaster(Forecaster):
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        price = F.log(F.greatest(F.col("checkout_price"), F.lit(1.0)))
+        price = F.log(at_least(clean("checkout_price"), 1.0))
         level = F.expm1(F.col("p_start") + F.col("p_slope") * price)
         lift = F.when(F.col("any_promo") == 1, F.col("p_uplift")).otherwise(1.0)
         kept = [c for c in df.columns if c != FORECAST]
         return df.join(self.table, self.keys, "left").select(
-            *kept, F.coalesce(at_least(level * lift, 0.0), F.lit(0.0)).alias(FORECAST)
+            *kept, F.when(F.col("p_start").isNull(), 0.0).otherwise(at_least(level * lift, 0.0)).alias(FORECAST)
         )

@@ -45,7 +45,7 @@ def relative_price(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     The means are aggregated (with map-side combine) and joined back, so the fact table is not shuffled
     by meal. By default they cover the whole frame, later weeks included; ``fit_on`` limits them.
     """
-    if not {"checkout_price", "meal_id"} <= set(df.columns):
+    if not {"checkout_price", "base_price", "meal_id"} <= set(df.columns):
         return df
     means = meal_means(df if fit_on is None else fit_on)
     return (
@@ -142,12 +142,14 @@ def feature_frame(
     mappings: Mapping[str, DataFrame] | None = None,
     impute: bool = True,
     one_row_per_week: bool = False,
+    fit_on: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str], dict[str, DataFrame]]:
     """All features in order: price, promotion, calendar, history (if the target is there), codes.
 
-    Returns the frame, the names of the feature columns and the category tables.
+    Returns the frame, the names of the feature columns and the category tables. ``fit_on`` limits the meal
+    means to some rows, such as the training weeks.
     """
-    out = calendar_features(promo_features(relative_price(price_features(df))))
+    out = calendar_features(promo_features(relative_price(price_features(df), fit_on)))
     out, tables = encode_categories(out, spec.categorical, mappings)
     if spec.target in df.columns:
         # Last, so that its shuffle carries the codes and not the joins before it.

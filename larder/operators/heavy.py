@@ -5,9 +5,9 @@ Lags, quantiles and cumulative shares need the order of the rows of a group. A p
 for that, cut them at approximate quantiles of the order key into pieces that keep the order, work on
 the pieces in parallel and put the exact result together.
 
-Which groups are cut is decided by share: a group must hold more than 1/``SHARE`` of all rows. So there
-are never more than ``SHARE`` of them, whatever the size of the data, and everything kept per heavy
-group (``PIECES`` split points, piece totals) has a proven bound and may be broadcast.
+A group is cut if it has more than ``LIGHT_ROWS`` rows, the most that one task orders, into as many pieces as
+that takes (``PIECES`` at most). So there is at most one heavy group for each ``LIGHT_ROWS`` rows of the data, and
+two split points for each: a millionth of the rows in numbers, which is what is broadcast about them.
 """
 
 from __future__ import annotations
@@ -17,8 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARE = 1000
-PIECES = 256
+PIECES = 2048
 LIGHT_ROWS = 1_000_000
 ACCURACY = 10_000
 
@@ -34,16 +33,11 @@ def heavy_groups(
     df: DataFrame,
     keys: Sequence[str],
     light_rows: int = LIGHT_ROWS,
-    share: int = SHARE,
     extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """Groups with more than ``light_rows`` rows and more than 1/``share`` of all rows.
-
-    At most ``share`` rows come out.
-    """
+    """Groups with more than ``light_rows`` rows: at most one for each ``light_rows`` rows."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"), *extra)
-    total = sizes.agg(F.sum("group_rows")).scalar()
-    return sizes.filter(F.col("group_rows") > F.greatest(F.lit(light_rows), total / F.lit(share)))
+    return sizes.filter(F.col("group_rows") > light_rows)
 
 
 def _probabilities(pieces: int) -> list[float]:
@@ -53,14 +47,23 @@ def _probabilities(pieces: int) -> list[float]:
 STRIDE = 16
 
 
-def _splits(df: DataFrame, keys: Sequence[str], value: Column, pieces: int, *extra: Column) -> DataFrame:
+def _splits(
+    df: DataFrame, keys: Sequence[str], value: Column, light_rows: int, pieces: int | None, *extra: Column
+) -> DataFrame:
     """Per group: increasing split points of ``value``, and every 16th of them.
 
-    The sketch merges on the map side.
+    There are ``pieces`` of them, or as many as make pieces of half ``light_rows`` rows. The sketch merges on
+    the map side.
     """
-    points = F.array_sort(F.array_distinct(F.percentile_approx(value, _probabilities(pieces), ACCURACY)))
+    most = pieces or PIECES
+    wanted = F.lit(most) if pieces else F.least(F.lit(most), F.ceil(2 * F.count(F.lit(1)) / F.lit(light_rows)))
+    step = F.greatest(F.lit(1), F.floor(F.lit(most) / wanted))
+    found = df.groupBy(*keys).agg(
+        F.percentile_approx(value, _probabilities(most), ACCURACY).alias("points"), step.alias("step"), *extra
+    )
+    chosen = F.filter("points", lambda p, i: (i + 1) % F.col("step") == 0)
+    found = found.withColumn("fine", F.array_sort(F.array_distinct(chosen))).drop("points", "step")
     coarse = F.filter("fine", lambda s, i: i % STRIDE == STRIDE - 1)
-    found = df.groupBy(*keys).agg(points.alias("fine"), *extra)
     return found.withColumn("splits", F.struct(coarse.alias("coarse"), F.col("fine"))).drop("fine")
 
 
@@ -82,8 +85,7 @@ def cut_series(
     reach: int,
     carried: Sequence[str],
     light_rows: int = LIGHT_ROWS,
-    share: int = SHARE,
-    pieces: int = PIECES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Cut long series into pieces that can be windowed on their own.
 
@@ -94,7 +96,7 @@ def cut_series(
     first = order[0]
     tie = order[1] if len(order) > 1 else None
     bounds = [F.min(tie).alias("tie_low"), F.max(tie).alias("tie_high")] if tie else []
-    heavy = heavy_groups(df.filter(_all_set(keys)), keys, light_rows, share, bounds)
+    heavy = heavy_groups(df.filter(_all_set(keys)), keys, light_rows, bounds)
 
     # A double that never decreases along (first, tie); equal values only end up in the same piece.
     position = F.col(first).cast("double")
@@ -103,7 +105,7 @@ def cut_series(
         position = position + (F.col(tie).cast("double") - F.col("tie_low").cast("double")) / span
     kept = [F.first(c).alias(c) for c in ("tie_low", "tie_high")] if tie else []
     splits = _splits(
-        df.select(*keys, *order).join(F.broadcast(heavy), list(keys)), keys, position, pieces, *kept
+        df.select(*keys, *order).join(F.broadcast(heavy), list(keys)), keys, position, light_rows, pieces, *kept
     )
     tagged = df.join(F.broadcast(splits), list(keys), "left").withColumn("piece", _piece(position))
 
@@ -117,7 +119,7 @@ def cut_series(
     )
     row = F.struct(*order, *[c for c in carried if c not in order])
     tails = tails.groupBy(*keys, "piece").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    # A piece may hold fewer than `reach` rows, so look back over `reach` pieces (at most PIECES exist).
+    # A piece may hold fewer than `reach` rows, so look back over `reach` pieces (PIECES at most exist).
     before = Window.partitionBy(*keys).orderBy("piece").rowsBetween(-reach, -1)
     halo = (
         tails.withColumn("rows", F.flatten(F.collect_list("rows").over(before)))
@@ -167,8 +169,7 @@ def exact_quantiles(
     probabilities: Sequence[float],
     weight: str = "weight",
     light_rows: int = LIGHT_ROWS,
-    share: int = SHARE,
-    pieces: int = PIECES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """(keys, quantiles): exact quantiles with linear interpolation, from ``value_counts`` rows.
 
@@ -179,7 +180,7 @@ def exact_quantiles(
     names = list(keys) or ["all_rows"]
     if not keys:
         counts = counts.withColumn("all_rows", F.lit(1))
-    heavy = heavy_groups(counts, names, light_rows, share, [F.sum("weight").alias("n")])
+    heavy = heavy_groups(counts, names, light_rows, [F.sum("weight").alias("n")])
 
     whole = Window.partitionBy(*names)
     upwards = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
@@ -187,8 +188,8 @@ def exact_quantiles(
     # The running window comes first: its sort then serves the other one too.
     light = light.withColumn("upto", F.sum("weight").over(upwards)).withColumn("n", F.sum("weight").over(whole))
 
-    # First pass over the heavy groups: rows per piece, at most share * (pieces + 1) numbers.
-    splits = _splits(counts.join(F.broadcast(heavy.select(*names, "n")), names), names, F.col("value"), pieces, F.first("n").alias("n"))
+    # First pass over the heavy groups: rows per piece, a few numbers for each.
+    splits = _splits(counts.join(F.broadcast(heavy.select(*names, "n")), names), names, F.col("value"), light_rows, pieces, F.first("n").alias("n"))
     totals = (
         counts.join(F.broadcast(splits), names)
         .withColumn("piece", _piece(F.col("value")))
@@ -226,7 +227,7 @@ def exact_quantiles(
 
 
 def cumulate(
-    counts: DataFrame, key: str, weights: Sequence[str], pieces: int = PIECES
+    counts: DataFrame, key: str, weights: Sequence[str], pieces: int | None = None, light_rows: int = LIGHT_ROWS
 ) -> DataFrame:
     """Running totals of ``weights`` over increasing ``value`` inside each ``key``.
 
@@ -234,7 +235,7 @@ def cumulate(
     piece totals can be broadcast; the number of values per key is not limited. ``counts`` must hold
     each (key, value) once. Adds ``upto_<weight>``.
     """
-    splits = _splits(counts, [key], F.col("value"), pieces)
+    splits = _splits(counts, [key], F.col("value"), light_rows, pieces)
     cut = counts.join(F.broadcast(splits), key).withColumn("piece", _piece(F.col("value"))).drop("splits")
     inside = Window.partitionBy(key, "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     # Both uses of these rows share one shuffle by (key, piece).

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import StockPolicy
 from ..functions import scores
-from ..functions.numbers import col, half_up
+from ..functions.numbers import at_least, clean, col, half_up
 from ..functions.stock import Z_BY_LEVEL, preparation, recommendation, reorder_point, safety_stock, z_score
 from .forecast import FORECAST
 
@@ -81,6 +81,7 @@ def plan_head(plan: DataFrame, n: int = 20) -> DataFrame:
     return plan.select(*PLAN_COLUMNS).orderBy("week", "center_id", "meal_id").limit(n)
 
 
+# The costs that a replay assumes.
 @dataclass(frozen=True)
 class ReplayCosts:
     unit_price: float = 120.0
@@ -106,7 +107,10 @@ def policy_rows(
     costs: ReplayCosts = ReplayCosts(),
     actual: str = "actual_orders",
 ) -> DataFrame:
-    """Every row under every policy: prepared, fulfilled, missing and wasted units."""
+    """Every row under every policy: prepared, fulfilled, missing and wasted units.
+
+    Without a demand or a forecast the units that depend on it are null.
+    """
     policies = F.array(
         *[
             F.struct(F.lit(float(v)).alias("service_level"), F.lit(replay_buffer(v, std)).alias("buffer"))
@@ -117,9 +121,9 @@ def policy_rows(
     return (
         df.select("*", F.inline(policies))
         .withColumn("prepared", prepared)
-        .withColumn("fulfilled", F.least(col(actual), F.col("prepared")))
-        .withColumn("stockout", F.greatest(F.lit(0.0), col(actual) - F.col("prepared")))
-        .withColumn("wasted", F.greatest(F.lit(0.0), F.col("prepared") - col(actual)) * F.lit(costs.spoilage_rate))
+        .withColumn("fulfilled", F.when(col(actual).isNotNull() & F.col("prepared").isNotNull(), F.least(col(actual), F.col("prepared"))))
+        .withColumn("stockout", at_least(col(actual) - F.col("prepared"), 0.0))
+        .withColumn("wasted", at_least(F.col("prepared") - col(actual), 0.0) * F.lit(costs.spoilage_rate))
     )
 
 
@@ -134,17 +138,19 @@ def policy_replay(
     """Cost of each policy had it been in force; one row per service level.
 
     All policies are summed side by side in one aggregation and turned into rows afterwards, so the
-    input is neither multiplied nor shuffled.
+    input is neither multiplied nor shuffled. Rows without a demand or a forecast (null or NaN) cannot be
+    replayed; they are left out of all sums and counted as ``unscored_rows``.
     """
-    f, a = col(forecast).cast("double"), col(actual).cast("double")
-    sums: list[Column] = [F.count(F.lit(1)).alias("n"), F.sum(a).alias("demand")]
+    both = clean(forecast).isNotNull() & clean(actual).isNotNull()
+    f, a = F.when(both, clean(forecast)), F.when(both, clean(actual))
+    sums: list[Column] = [F.count_if(both).alias("n"), F.count_if(~both).alias("unscored_rows"), F.sum(a).alias("demand")]
     for i, level in enumerate(levels):
         prepared = f + F.lit(replay_buffer(level, std))
         sums += [
             F.sum(prepared).alias(f"prepared{i}"),
-            F.sum(F.least(a, prepared)).alias(f"fulfilled{i}"),
-            F.sum(F.greatest(F.lit(0.0), a - prepared)).alias(f"stockout{i}"),
-            F.sum(F.greatest(F.lit(0.0), prepared - a) * F.lit(costs.spoilage_rate)).alias(f"wasted{i}"),
+            F.sum(F.when(both, F.least(a, prepared))).alias(f"fulfilled{i}"),
+            F.sum(at_least(a - prepared, 0.0)).alias(f"stockout{i}"),
+            F.sum(at_least(prepared - a, 0.0) * F.lit(costs.spoilage_rate)).alias(f"wasted{i}"),
             F.count_if(a > prepared).alias(f"events{i}"),
         ]
     rows = [
@@ -153,6 +159,7 @@ def policy_replay(
             F.lit(float(level)).alias("service_level"),
             F.lit(z_score(level)).alias("z"),
             F.col("n"),
+            F.col("unscored_rows"),
             F.col("demand"),
             *[F.col(f"{c}{i}").alias(c) for c in ("prepared", "fulfilled", "stockout", "wasted", "events")],
         )
@@ -167,6 +174,7 @@ def policy_replay(
         "position",
         "service_level",
         half_up("z", 3).alias("z_score"),
+        "unscored_rows",
         half_up("demand", 1).alias("total_demand_units"),
         half_up("prepared", 1).alias("total_prepared_units"),
         half_up("fulfilled", 1).alias("total_fulfilled_units"),

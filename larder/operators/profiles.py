@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import col, half_up
+from ..functions.numbers import at_least, clean, col, half_up
 from .forecast import FORECAST
 from .series import last_rows
 
@@ -44,11 +44,11 @@ def uplift(actual: str) -> Column:
 
 
 def elasticity(actual: str, price: str = "checkout_price") -> Column:
-    log_demand = F.log1p(F.greatest(F.col(actual), F.lit(0.0)))
-    log_price = F.log(F.greatest(F.col(price), F.lit(1.0)))
-    enough = (
-        (F.count(F.lit(1)) >= 5) & (F.stddev_pop(price) > 1e-3) & (F.stddev_pop(actual) > 1e-3)
-    )
+    """Slope of log demand over log price, from the rows that have both."""
+    both = clean(actual).isNotNull() & clean(price).isNotNull()
+    demand, cost = F.when(both, clean(actual)), F.when(both, clean(price))
+    log_demand, log_price = F.log1p(at_least(demand, 0.0)), F.log(at_least(cost, 1.0))
+    enough = (F.count_if(both) >= 5) & (F.stddev_pop(cost) > 1e-3) & (F.stddev_pop(demand) > 1e-3)
     slope = F.when(enough, F.regr_slope(log_demand, log_price))
     return F.coalesce(F.when(slope.isNotNull() & ~F.isnan(slope), _clip(slope, ELASTICITY_RANGE)), F.lit(NO_ELASTICITY))
 
@@ -143,12 +143,15 @@ def adaptive_forecast(
     forecast: str = FORECAST,
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
-    """Add ``adaptive_orders`` and ``adaptive_stock``: bias-corrected where the pair has a profile."""
+    """Add ``adaptive_orders`` and ``adaptive_stock``: bias-corrected where the pair has a profile.
+
+    A missing forecast stays missing.
+    """
     found = profiles.select(
         *keys, F.col("recent_residual_bias").alias("p_bias"), F.col("recommended_safety_stock").alias("p_stock")
     )
     known = F.col("p_stock").isNotNull()
-    corrected = F.greatest(F.lit(0.0), col(forecast) + F.lit(rate) * F.col("p_bias"))
+    corrected = at_least(clean(col(forecast)) + F.lit(rate) * F.col("p_bias"), 0.0)
     return df.join(found, list(keys), "left").select(
         *df.columns,
         F.when(known, corrected).otherwise(col(forecast)).alias("adaptive_orders"),

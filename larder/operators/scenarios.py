@@ -22,20 +22,20 @@ class Scenario:
     expected: str
 
 
-# Names, descriptions and expected directions of the scenarios.
+# Names and expected directions of the scenarios.
 SCENARIOS = (
-    Scenario("price_surge", "Price Surge (+30%)", "Simulates sudden price increase across all items.", "DOWN"),
+    Scenario("price_surge", "Price Surge (+30%)", "Every price goes up by three tenths.", "DOWN"),
     Scenario(
-        "flash_sale", "Flash Sale (-35% Price)", "Simulates deep price discount to test demand expansion.", "UP"
+        "flash_sale", "Flash Sale (-35% Price)", "Every price goes down by 35 in a hundred.", "UP"
     ),
     Scenario(
         "promo_blitz",
         "Promotional Blitz (Email + Homepage)",
-        "Simulates coordinated marketing campaign across all fulfillment centers.",
+        "Every meal is promoted by e-mail and on the homepage.",
         "UP",
     ),
     Scenario(
-        "blackout", "Promotion Blackout", "Simulates organic baseline demand with zero marketing push.", "DOWN"
+        "blackout", "Promotion Blackout", "No meal is promoted at all.", "DOWN"
     ),
 )
 PASSED = "PASSED: Model behaves consistently with economic and operational dynamics."

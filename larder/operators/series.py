@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..config import FeatureSpec
-from .heavy import LIGHT_ROWS, SHARE, _all_set, cut_series
+from .heavy import LIGHT_ROWS, _all_set, cut_series
 
 DEFAULT = FeatureSpec()
+SPREAD = 10_000  # parts that rows without a key are dealt into
 
 
 def lag_columns(target: str, lags: Sequence[int], window: WindowSpec, known: Column) -> list[Column]:
@@ -42,12 +43,11 @@ def history_features(
     tie: str | None = "id",
     one_row_per_week: bool = False,
     light_rows: int = LIGHT_ROWS,
-    share: int = SHARE,
 ) -> DataFrame:
     """Add lag and rolling columns; both are counted in rows, so a missing week is simply skipped.
 
     All columns share one window, hence one shuffle and one sort. Rows without a full key get no
-    history. A series too long for one task is cut into pieces first. ``one_row_per_week`` tells that a
+    history and are spread over the tasks. A series too long for one task is cut into pieces first. ``one_row_per_week`` tells that a
     series cannot be long, its rows being weeks of the calendar (as after a group-by on the week), and
     saves the pass that looks for long ones.
     """
@@ -62,10 +62,12 @@ def history_features(
         parts, source = list(keys), df
     else:
         reach = max([*lags, *windows])
-        source = cut_series(df, keys, order, reach, [target], light_rows, share)
+        source = cut_series(df, keys, order, reach, [target], light_rows)
         parts = [*keys, "piece"]
-    window = Window.partitionBy(*parts).orderBy(*order)
     known = _all_set(keys)
+    # Whatever stands beside a row without a key does not matter: its history is blank.
+    apart = F.when(known, 0).otherwise(F.pmod(F.xxhash64(*order), F.lit(SPREAD)))
+    window = Window.partitionBy(*parts, apart).orderBy(*order)
     added = lag_columns(target, lags, window, known) + rolling_columns(target, windows, window, known)
     out = source.select("*", *added)
     if not one_row_per_week:

@@ -27,6 +27,13 @@ def sliced_scores(
     table is read once and not multiplied by the number of dimensions.
     """
     present = [d for d in dimensions if d in df.columns]
+    if not present:
+        # Nothing to slice by: the same columns without a row.
+        none = df.agg(F.count(F.lit(1)).alias("rows"), *scores.error_sums(actual, forecast)).filter("false")
+        text = F.lit(None).cast("string")
+        return none.select(
+            text.alias("dimension"), text.alias("slice"), F.col("rows").alias("sample_count"), *[c.alias(n) for n, c in scores.from_sums().items()]
+        )
     combined = df.groupBy(*present).agg(F.count(F.lit(1)).alias("rows"), *scores.error_sums(actual, forecast))
     views = F.array(
         *[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("slice")) for d in present]

@@ -18,6 +18,7 @@ from ..sources.contracts import FEEDBACK_SCHEMA
 from ..sources.staging import stage
 
 WMAPE_LIMIT = 0.25
+NO_ROWS, ABOVE_LIMIT, FORCED = "no_rows", "wmape_above_limit", "forced"
 
 
 def feedback_rows(
@@ -77,11 +78,12 @@ def feedback_summary(log: DataFrame) -> DataFrame:
 class FeedbackLog:
     """Append-only log of realized weeks: a Parquet table with one folder per batch.
 
-    Writing a batch again replaces its folder, so a repeated batch leaves no duplicates.
+    Writing a batch again replaces its folder, so a repeated batch leaves no duplicates. All records count
+    unless the caller asks for the newest ``max_history`` only.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, max_history: int = 100_000) -> None:
-        if max_history <= 0:
+    def __init__(self, spark: SparkSession, folder: str, max_history: int | None = None) -> None:
+        if max_history is not None and max_history <= 0:
             raise ValueError(f"max_history must be positive, got {max_history}")
         self.spark, self.folder, self.max_history = spark, folder, max_history
 
@@ -102,12 +104,14 @@ class FeedbackLog:
         return found.select(*names)
 
     def read(self) -> DataFrame:
-        """The newest ``max_history`` records.
+        """All records, or the newest ``max_history`` if that was asked for.
 
         Whole batches are kept from the newest on; only the one that crosses the limit is ordered, so
         neither older batches are read nor the kept ones sorted.
         """
         log = self.everything()
+        if self.max_history is None:
+            return log
         # One row per batch, from the folder names and row counts.
         sizes = sorted(log.groupBy("batch_id").count().collect(), reverse=True)
         room = self.max_history
@@ -165,10 +169,50 @@ def batch_scores(corrected: DataFrame, actual: str = "num_orders") -> DataFrame:
     return row.withColumn("improvement_pct", improvement_pct(F.col("champion_wmape"), F.col("adaptive_wmape")))
 
 
+class ChampionShelf:
+    """Champions by the number of the batch that promoted them: one folder each, written by Spark.
+
+    For forecasters with ``save(folder)`` and ``load(spark, folder)``.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, kind: type) -> None:
+        self.spark, self.folder, self.kind = spark, folder, kind
+
+    def _versions(self) -> DataFrame:
+        return self.spark.read.schema("batch_id bigint, saved string").json(f"{self.folder}/versions")
+
+    def put(self, champion: Forecaster, number: int) -> None:
+        """The version is listed once its model is complete; putting it again replaces it."""
+        saved = f"{self.folder}/champion-{number}"
+        champion.save(saved)
+        row = self.spark.createDataFrame([(number, saved)], "batch_id bigint, saved string")
+        row.coalesce(1).write.mode("overwrite").json(f"{self.folder}/versions/v={number}")
+
+    def before(self, number: int) -> Forecaster | None:
+        """The newest champion of the batches before ``number``."""
+        try:
+            last = self._versions().filter(F.col("batch_id") < number).agg(F.max_by("saved", "batch_id")).first()[0]
+        except AnalysisException as err:
+            if "PATH_NOT_FOUND" not in str(err.getCondition()):
+                raise
+            return None
+        return self.kind.load(self.spark, last) if last else None
+
+
+def newest_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """The profiles of the last batch, from the table that the loop writes."""
+    written = spark.read.parquet(folder)
+    last = written.select("batch_id").agg(F.max("batch_id")).scalar()
+    return written.filter(F.col("batch_id") == last).drop("batch_id")
+
+
 class AdaptiveLoop:
-    """Runs one batch after the other; what it learns lives in tables, not in this object.
+    """Runs one batch after the other.
 
-    ``profiles_folder`` holds one folder per batch; the newest one replaces the older ones.
+    ``profiles_folder`` holds one folder per batch, of which ``newest_profiles`` reads the last one. With a
+    ``shelf`` a promoted champion is saved there under its batch number, and a new loop starts from the newest
+    one of the batches before its own; so a repeated batch meets the champion that it met the first time.
+    The seed of a challenger is the batch number.
     """
 
     def __init__(
@@ -179,9 +223,11 @@ class AdaptiveLoop:
         challenger: Callable[[int], Forecaster] | None = None,
         profiles_folder: str | None = None,
         on_promotion: Callable[[Forecaster, int], None] | None = None,
+        shelf: ChampionShelf | None = None,
     ) -> None:
         self.champion, self.log, self.rate = champion, log, rate
         self.challenger, self.profiles_folder, self.on_promotion = challenger, profiles_folder, on_promotion
+        self.shelf, self.first_champion = shelf, champion
         self.profiles: DataFrame | None = None
         self.iteration = 0
 
@@ -189,11 +235,13 @@ class AdaptiveLoop:
         self, batch: DataFrame, actual: str = "num_orders", force_retrain: bool = False, batch_id: int | None = None
     ) -> LoopResult:
         if batch.isEmpty():
-            return LoopResult(reasons=["Empty batch provided."])
+            return LoopResult(reasons=[NO_ROWS])
         self.iteration += 1
         number = self.iteration if batch_id is None else batch_id
         if actual not in batch.columns and "actual_orders" in batch.columns:
             actual = "actual_orders"
+        if self.shelf is not None:
+            self.champion = self.shelf.before(number) or self.first_champion
         corrected, self.profiles = correct_batch(batch, self.champion, actual, self.rate)
         if self.profiles_folder:
             self.profiles.write.mode("overwrite").parquet(f"{self.profiles_folder}/batch_id={number}")
@@ -205,15 +253,17 @@ class AdaptiveLoop:
         self.log.record(realized, number)
 
         if result.champion_wmape > WMAPE_LIMIT:
-            result.reasons.append(f"WMAPE exceeded tolerance: {result.champion_wmape:.4f} > {WMAPE_LIMIT}")
+            result.reasons.append(ABOVE_LIMIT)
         if force_retrain:
-            result.reasons.append("Manual force retrain requested.")
+            result.reasons.append(FORCED)
         result.retrain = bool(result.reasons)
         if result.retrain and self.challenger is not None:
-            rival = self.challenger(self.iteration).fit(batch)
+            rival = self.challenger(number).fit(batch)
             result.challenger_wmape = score(rival.transform(batch), actual).first().wmape
             if result.challenger_wmape < result.champion_wmape:
                 self.champion, result.promoted = rival, True
+                if self.shelf is not None:
+                    self.shelf.put(rival, number)
                 if self.on_promotion:
                     self.on_promotion(rival, number)
         return result

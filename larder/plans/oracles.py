@@ -71,6 +71,7 @@ def q(*ctes: str, select: str) -> str:
 
 
 PANEL = _panel()
+REGION = _panel("region")
 DIMS = _dims()
 DIRTY = """dirty AS (
   SELECT CASE WHEN week % 97 = 0 THEN NULL WHEN week % 89 = 0 THEN CAST(week AS BIGINT) ELSE id END AS id, week,
@@ -148,13 +149,16 @@ raw_numbers AS (
          CASE WHEN count(*) >= 3 THEN greatest(3.0, stddev_pop(res)) ELSE 20.0 END AS std,
          avg(num_orders) FILTER (WHERE any_promo = 1) AS pm, avg(num_orders) FILTER (WHERE any_promo = 0) AS nm,
          count(*) FILTER (WHERE any_promo = 1) AS pn, count(*) FILTER (WHERE any_promo = 0) AS nn,
-         stddev_pop(checkout_price) AS price_std, stddev_pop(num_orders) AS demand_std,
-         regr_slope(ln(1 + greatest(num_orders, 0)), ln(greatest(checkout_price, 1))) AS slope
+         count(*) FILTER (WHERE num_orders IS NOT NULL AND checkout_price IS NOT NULL) AS pairs,
+         stddev_pop(checkout_price) FILTER (WHERE num_orders IS NOT NULL) AS price_std,
+         stddev_pop(num_orders) FILTER (WHERE checkout_price IS NOT NULL) AS demand_std,
+         regr_slope(ln(1 + greatest(num_orders, 0)), ln(greatest(checkout_price, 1)))
+           FILTER (WHERE num_orders IS NOT NULL AND checkout_price IS NOT NULL) AS slope
   FROM ranked GROUP BY {by}),
 numbers AS (
   SELECT {by}, n, demand, bias, std,
          CASE WHEN pn >= 2 AND nn >= 2 AND nm > 0 THEN least(greatest(pm / nm, 0.8), 3.5) ELSE 1.25 END AS uplift,
-         CASE WHEN n >= 5 AND price_std > 0.001 AND demand_std > 0.001 AND slope IS NOT NULL
+         CASE WHEN pairs >= 5 AND price_std > 0.001 AND demand_std > 0.001 AND slope IS NOT NULL
               THEN least(greatest(slope, -4.0), 0.5) ELSE -1.2 END AS elasticity,
          greatest(5.0, ceil(1.6449 * std)) AS stock
   FROM raw_numbers),
@@ -181,7 +185,7 @@ NO_PROMO = "unpromoted AS (SELECT *, CAST(NULL AS INT) AS any_promo FROM {0})"
 def adaptive(target: str, join: str = "center_id, meal_id") -> str:
     return f"""adapted AS (
   SELECT t.*, CASE WHEN recommended_safety_stock IS NULL THEN forecast_orders
-         ELSE greatest(0, forecast_orders + 0.65 * recent_residual_bias) END AS adaptive_orders,
+         WHEN forecast_orders IS NOT NULL THEN greatest(0, forecast_orders + 0.65 * recent_residual_bias) END AS adaptive_orders,
          coalesce(recommended_safety_stock, 15.0) AS adaptive_stock
   FROM {target} t LEFT JOIN (SELECT {join}, recent_residual_bias, recommended_safety_stock FROM profiles) USING ({join}))"""
 
@@ -382,6 +386,12 @@ def slices(source: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+GAPS = """{0} AS (
+  SELECT * REPLACE (CASE WHEN week % 11 <> 0 THEN num_orders END AS num_orders,
+                    CASE WHEN week % 11 <> 0 THEN actual_orders END AS actual_orders,
+                    CASE WHEN week % 13 <> 0 THEN checkout_price END AS checkout_price,
+                    CASE WHEN week % 17 <> 0 THEN forecast_orders END AS forecast_orders) FROM {1})"""
+
 # --- policies --------------------------------------------------------------------------------------
 
 POLICIES = """policies(service_level, z, pos) AS (VALUES (0.8::DOUBLE, 0.8416::DOUBLE, 0), (0.85, 1.0364, 1),
@@ -392,8 +402,9 @@ replay AS (
          least(num_orders, forecast_orders + greatest(5.0, ceil(z * 25.0))) AS fulfilled,
          greatest(0.0, num_orders - forecast_orders - greatest(5.0, ceil(z * 25.0))) AS stockout,
          greatest(0.0, forecast_orders + greatest(5.0, ceil(z * 25.0)) - num_orders) * 0.3 AS wasted
-  FROM test t, policies)"""
-REPLAY = f"""SELECT service_level, {r("any_value(z)", 3)} AS z_score, {r("sum(a)", 1)} AS total_demand_units,
+  FROM test t, policies WHERE num_orders IS NOT NULL AND forecast_orders IS NOT NULL)"""
+REPLAY = f"""SELECT service_level, {r("any_value(z)", 3)} AS z_score,
+  (SELECT count(*) FROM test WHERE num_orders IS NULL OR forecast_orders IS NULL) AS unscored_rows, {r("sum(a)", 1)} AS total_demand_units,
   {r("sum(prepared)", 1)} AS total_prepared_units, {r("sum(fulfilled)", 1)} AS total_fulfilled_units,
   {r("sum(stockout)", 1)} AS total_stockout_units, {r("sum(wasted)", 1)} AS total_wasted_units,
   {r("count(*) FILTER (WHERE a > prepared) / count(*) * 100", 2)} AS stockout_event_rate,
@@ -517,8 +528,10 @@ ORACLES: dict[str, str] = {
         PRICED,
         select=f"""SELECT week, center_id, meal_id, {r("price_ratio")} AS price_ratio, num_orders_lag_1, num_orders_lag_10,
   {r("m3")} AS num_orders_roll_mean_3
-FROM (SELECT *, {lag(1)}, {lag(10)}, {mean(3)} AS m3 FROM priced {SERIES}) WHERE week > {TRAIN_END}""",
+FROM (SELECT *, {lag(1)}, {lag(10)}, {mean(3)} AS m3 FROM priced {SERIES})""",
     ),
+    "write_metrics": q(PANEL, SCORED, PLAN, select=f"SELECT * FROM (SELECT {measures()} FROM test), ({KPIS})"),
+    "write_codes": q(PANEL, DIMS, WIDE, select=CODES),
     "write_features": q(
         PANEL,
         select=f"""SELECT CAST((week - 1) // 52 AS INT) AS week_bucket, count(*) AS n, sum(num_orders) AS units,
@@ -596,14 +609,13 @@ UNION ALL SELECT DISTINCT 'week', CAST(week AS BIGINT) FROM panel""",
         PANEL,
         DIMS,
         DIRTY,
-        select=f"""SELECT {ENRICHED} FROM dirty LEFT JOIN centers USING (center_id) LEFT JOIN meals USING (meal_id)
-WHERE id IS NOT NULL""",
+        select=f"""SELECT {ENRICHED} FROM dirty LEFT JOIN centers USING (center_id) LEFT JOIN meals USING (meal_id)""",
     ),
     "enrich_inner": q(
         PANEL,
         DIMS,
         DIRTY,
-        select=f"SELECT {ENRICHED} FROM dirty JOIN centers USING (center_id) JOIN meals USING (meal_id) WHERE id IS NOT NULL",
+        select=f"SELECT {ENRICHED} FROM dirty JOIN centers USING (center_id) JOIN meals USING (meal_id)",
     ),
     "baseline_lookup": q(PANEL, SCORED, select="SELECT week, center_id, meal_id, forecast_orders FROM test"),
     "profile_lookup": q(
@@ -648,7 +660,7 @@ UNION ALL SELECT 'test', fold_index, count(*), sum(num_orders) FROM panel JOIN f
     ),
     # aggregations
     "group_median_fit": q(PANEL, SCORED, select="SELECT center_id, meal_id, gm AS group_median FROM med"),
-    "group_median_long_groups": q(PANEL, SCORED, select="SELECT center_id, meal_id, gm AS group_median FROM med"),
+    "group_median_long_groups": q(REGION, SCORED, select="SELECT center_id, meal_id, gm AS group_median FROM med"),
     "overall_median": q(PANEL, SCORED, select="SELECT om AS overall_median FROM med_all"),
     "price_quantiles_long_groups": q(
         PANEL,
@@ -675,6 +687,20 @@ FROM (SELECT meal_id, quantile_cont(checkout_price, [0, 0.1, 0.2, 0.3, 0.4, 0.5,
     "fold_metrics": fold_scores(),
     "overall_backtest_metrics": q(PANEL, *FOLDS, select=f"SELECT {measures()} FROM pred"),
     "policy_replay": q(PANEL, SCORED, POLICIES, select=REPLAY),
+    "policy_replay_gaps": q(PANEL, SCORED.replace("test AS (", "whole_test AS ("), GAPS.format("test", "whole_test"), POLICIES, select=REPLAY),
+    "sku_profile_gaps": q(
+        PANEL, PRICED, ALL_SCORED, GAPS.format("gappy", "everywhere"), profiles("gappy"), select=f"SELECT {PROFILE_COLUMNS} FROM profiles"
+    ),
+    "adaptive_correction_gaps": q(
+        PANEL,
+        SCORED,
+        GAPS.format("gappy", "scored"),
+        f"unpromoted AS (SELECT *, CAST(NULL AS INT) AS any_promo FROM gappy WHERE week <= {VAL_END})",
+        profiles("unpromoted"),
+        f"later AS (SELECT * FROM gappy WHERE week > {VAL_END})",
+        adaptive("later"),
+        select=f"SELECT week, center_id, meal_id, {rounded('adaptive_orders, adaptive_stock')} FROM adapted",
+    ),
     "optimal_policy": q(
         PANEL,
         SCORED,
@@ -733,7 +759,7 @@ FROM panel GROUP BY emailer_for_promotion, homepage_featured""",
     ),
     # windows
     "lag_features": q(PANEL, select=f"SELECT id, {LAGS} FROM panel {SERIES}"),
-    "lag_features_long_series": q(PANEL, select=f"SELECT id, {LAGS} FROM panel {SERIES}"),
+    "lag_features_long_series": q(REGION, select=f"SELECT id, {LAGS} FROM panel {SERIES}"),
     "rolling_mean": q(
         PANEL,
         select="SELECT id, " + ", ".join(f"{r(mean(k))} AS num_orders_roll_mean_{k}" for k in (3, 5, 10)) + " FROM panel",
@@ -743,7 +769,7 @@ FROM panel GROUP BY emailer_for_promotion, homepage_featured""",
         select="SELECT id, " + ", ".join(f"{r(std(k), 4)} AS num_orders_roll_std_{k}" for k in (3, 5, 10)) + " FROM panel",
     ),
     "rolling_long_series": q(
-        PANEL,
+        REGION,
         select=f"SELECT id, {r(mean(10), 4)} AS num_orders_roll_mean_10, {r(std(5), 4)} AS num_orders_roll_std_5 FROM panel",
     ),
     "meal_rel_price": q(
@@ -812,7 +838,7 @@ ORDER BY batch_id DESC, week DESC, center_id DESC, meal_id DESC LIMIT 500""",
         DIRTY,
         select=f"""SELECT id, {r("greatest(0.0, base_price - checkout_price)", 4)} AS discount_amount,
   {r("greatest(0.0, base_price - checkout_price) / greatest(base_price, 0.0001)", 4)} AS discount_ratio,
-  {r("checkout_price / greatest(base_price, 0.0001)", 4)} AS price_ratio FROM dirty WHERE id IS NOT NULL AND week % 89 <> 0""",
+  {r("checkout_price / greatest(base_price, 0.0001)", 4)} AS price_ratio FROM dirty""",
     ),
     "promo_features": q(
         PANEL, PRICED, select=f"SELECT id, both_promos, any_promo, {rounded('promo_discount_synergy')} FROM priced"

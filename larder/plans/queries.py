@@ -163,7 +163,7 @@ def _written_features(spark, d) -> str:
 
 @query
 def read_features(spark, d):
-    back = artifacts.read_features(spark, _written_features(spark, d), SPLIT.train_end + 1)
+    back = artifacts.read_features(spark, _written_features(spark, d))
     return tidy(back.select(*ID, "price_ratio", "num_orders_lag_1", "num_orders_lag_10", "num_orders_roll_mean_3"))
 
 
@@ -201,16 +201,24 @@ def write_plan(spark, d):
 
 @query
 def write_metrics(spark, d):
-    df = stage(split_scored(enriched(spark, d, staged=True)), "scored")
-    plan = inventory.stock_plan(test_weeks(df))
-    _, codes = features.encode_categories(df, ["center_type", "category"])
+    df = stage(split_scored(staged_panel(spark, d)), "scored")
+    plan = inventory.stock_plan(test_weeks(df), std=inventory.residual_rmse(val_weeks(df)).scalar())
     row = artifacts.metrics_row(
-        {"baseline_metrics": forecast.score(test_weeks(df)), "inventory_kpis": inventory.plan_totals(plan)},
-        mappings=codes,
+        {"baseline_metrics": forecast.score(test_weeks(df)), "inventory_kpis": inventory.plan_totals(plan)}
     )
     folder = fresh_folder(spark, "metrics")
     artifacts.write_metrics(row, folder)
-    return artifacts.read_metrics(spark, folder, row.schema)
+    return artifacts.read_metrics(spark, folder, row.schema).select("baseline_metrics.*", "inventory_kpis.*")
+
+
+@query
+def write_codes(spark, d):
+    """The codes of all category columns, written and read back."""
+    _, codes = features.encode_categories(enriched(spark, d, staged=True), FeatureSpec().categorical)
+    folder = fresh_folder(spark, "codes")
+    artifacts.write_codes(codes, folder)
+    parts = [df.withColumn("column", F.lit(name)) for name, df in artifacts.read_codes(spark, folder).items()]
+    return reduce(DataFrame.unionByName, parts).select("column", "value", "code")
 
 
 @query
@@ -223,7 +231,7 @@ def model_persistence(spark, d):
     return forecast.compare({"kept": model.transform(test), "loaded": loaded.transform(test)}, "kept")
 
 
-def _log(spark, d, max_history: int = 100_000) -> adaptive.FeedbackLog:
+def _log(spark, d, max_history: int | None = None) -> adaptive.FeedbackLog:
     log = adaptive.FeedbackLog(spark, fresh_folder(spark, "feedback"), max_history)
     scored = stage(split_scored(staged_panel(spark, d)), "scored")
     log.record(val_weeks(scored), 1)
@@ -387,13 +395,13 @@ ENRICHED = ["id", "center_type", "city_code", "region_code", "op_area", "categor
 @query
 def enrich_left(spark, d):
     centers, meals = stage(star.centers(spark, d), "centers"), stage(star.meals(spark, d), "meals")
-    return features.enrich(dirty_train(spark, d).filter("id IS NOT NULL"), centers, meals).select(*ENRICHED)
+    return features.enrich(dirty_train(spark, d), centers, meals).select(*ENRICHED)
 
 
 @query
 def enrich_inner(spark, d):
     centers, meals = stage(star.centers(spark, d), "centers"), stage(star.meals(spark, d), "meals")
-    return features.enrich(dirty_train(spark, d).filter("id IS NOT NULL"), centers, meals, "inner").select(*ENRICHED)
+    return features.enrich(dirty_train(spark, d), centers, meals, "inner").select(*ENRICHED)
 
 
 @query
@@ -483,9 +491,9 @@ def group_median_fit(spark, d):
 
 @query
 def group_median_long_groups(spark, d):
-    """Every group with more than 5 distinct values goes the way of the very large ones."""
-    train = panel(spark, d).filter(F.col("week") <= SPLIT.train_end)
-    return group_median(train, KEYS, "num_orders", "group_median", light_rows=5, share=10**6, pieces=4)
+    """Groups of regions, which have more than 100 distinct values, go the way of the very large ones."""
+    train = panel(spark, d, "region").filter(F.col("week") <= SPLIT.train_end)
+    return group_median(train, KEYS, "num_orders", "group_median", light_rows=100)
 
 
 @query
@@ -564,6 +572,22 @@ def policy_replay(spark, d):
     return inventory.replay_report(inventory.policy_replay(_test_scored(spark, d)))
 
 
+def with_gaps(df: DataFrame) -> DataFrame:
+    """Demand, price and forecast missing in some weeks."""
+
+    def gap(name: str, n: int):
+        return F.when(F.col("week") % n != 0, F.col(name)).alias(name)
+
+    gaps = {"num_orders": 11, "actual_orders": 11, "checkout_price": 13, FORECAST: 17}
+    return df.select(*[gap(c, gaps[c]) if c in gaps else F.col(c) for c in df.columns])
+
+
+@query
+def policy_replay_gaps(spark, d):
+    """The replay where demand or forecast is missing in some weeks."""
+    return inventory.replay_report(inventory.policy_replay(with_gaps(_test_scored(spark, d))))
+
+
 @query
 def optimal_policy(spark, d):
     return inventory.best_policy(inventory.policy_replay(_test_scored(spark, d)))
@@ -581,6 +605,20 @@ def sku_profile(spark, d):
     return profiles.sku_profiles(_profile_input(spark, d))
 
 
+@query
+def sku_profile_gaps(spark, d):
+    """Profiles where demand, price or forecast is missing in some weeks."""
+    return profiles.sku_profiles(with_gaps(_profile_input(spark, d)))
+
+
+@query
+def adaptive_correction_gaps(spark, d):
+    """Corrected forecasts where demand or forecast is missing in some weeks."""
+    scored = with_gaps(stage(split_scored(staged_panel(spark, d)), "scored"))
+    found = stage(profiles.sku_profiles(val_weeks(scored)), "profiles")
+    return tidy(profiles.adaptive_forecast(test_weeks(scored), found).select(*ID, "adaptive_orders", "adaptive_stock"))
+
+
 @query
 def residual_bias(spark, d):
     return tidy(profiles.profile_numbers(_profile_input(spark, d)).select(*KEYS, "bias", "std"))
@@ -658,8 +696,8 @@ def lag_features(spark, d):
 
 @query
 def lag_features_long_series(spark, d):
-    """Every series with more than 20 weeks is cut into pieces with carried rows."""
-    lagged = series.lag_features(staged_panel(spark, d), light_rows=20, share=10**6)
+    """Series of regions, which have more than 100 weeks, are cut into pieces with carried rows."""
+    lagged = series.lag_features(staged_panel(spark, d, "region"), light_rows=100)
     return lagged.select("id", *[f"num_orders_lag_{n}" for n in FeatureSpec().lags])
 
 
@@ -677,7 +715,7 @@ def rolling_std(spark, d):
 
 @query
 def rolling_long_series(spark, d):
-    rolled = series.rolling_features(staged_panel(spark, d), light_rows=20, share=10**6)
+    rolled = series.rolling_features(staged_panel(spark, d, "region"), light_rows=100)
     return tidy(rolled.select("id", "num_orders_roll_mean_10", "num_orders_roll_std_5"), 4)
 
 
@@ -792,7 +830,7 @@ def scenario_union(spark, d):
 
 @query
 def price_features(spark, d):
-    df = features.price_features(dirty_train(spark, d).filter("id IS NOT NULL AND week % 89 <> 0"))
+    df = features.price_features(dirty_train(spark, d))
     return tidy(df.select("id", "discount_amount", "discount_ratio", "price_ratio"), 4)
 
 
@@ -1156,9 +1194,9 @@ def rolling_reliability(spark, d):
 
 @query
 def profile_state(spark, d):
-    """The profiles in force after the last arrival."""
-    stream, _ = run_stream(spark, d)
-    return stream.loop.profiles
+    """The profiles in force after the last arrival, from their table."""
+    _, folder = run_stream(spark, d)
+    return adaptive.newest_profiles(spark, folder)
 
 
 # --- flagship --------------------------------------------------------------------------------------

@@ -93,11 +93,13 @@ def summary_row(result: TrainingResult) -> DataFrame:
         "model_metrics": result.model_metrics,
         "inventory_kpis": result.totals,
     }
-    return artifacts.metrics_row(parts, result.top_features, result.mappings)
+    return artifacts.metrics_row(parts, result.top_features)
 
 
 def write_results(result: TrainingResult, folder: str) -> None:
     if isinstance(result.forecaster, BoostedForecaster):
         result.forecaster.save(f"{folder}/models/boosted")
     artifacts.write_metrics(summary_row(result), f"{folder}/models/metrics")
+    if result.mappings:
+        artifacts.write_codes(result.mappings, f"{folder}/models/codes")
     artifacts.write_plan(result.plan, f"{folder}/data/processed/inventory_recommendations")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,10 +39,8 @@ def read_plan(spark: SparkSession, folder: str, schema: StructType | str) -> Dat
     return spark.read.schema(schema).option("header", True).csv(folder)
 
 
-def metrics_row(
-    parts: dict[str, DataFrame], top_features: DataFrame | None = None, mappings: dict[str, DataFrame] | None = None
-) -> DataFrame:
-    """One row with a struct per one-row frame, a feature-to-importance map and the category codes."""
+def metrics_row(parts: dict[str, DataFrame], top_features: DataFrame | None = None) -> DataFrame:
+    """One row with a struct per one-row frame and a feature-to-importance map."""
     spark = next(iter(parts.values())).sparkSession
     columns: list[Column] = [
         df.select(F.struct(*df.columns)).scalar().alias(name) for name, df in parts.items()
@@ -49,14 +49,23 @@ def metrics_row(
         # As many entries as were asked for.
         pairs = top_features.agg(F.map_from_entries(F.collect_list(F.struct("feature", "importance")))).scalar()
         columns.append(pairs.alias("top_features"))
-    out = spark.range(1).select(*columns)
-    for name, codes in (mappings or {}).items():
-        size = codes.count()
-        if size > 10_000:
-            raise ValueError(f"the {size} codes of '{name}' do not fit in a summary; write them as a table")
-        entries = codes.agg(F.map_from_entries(F.collect_list(F.struct(F.col("value").cast("string"), "code"))))
-        out = out.withColumn(f"codes_{name}", entries.scalar())
-    return out
+    return spark.range(1).select(*columns)
+
+
+def write_codes(mappings: dict[str, DataFrame], folder: str) -> None:
+    """The category codes of all columns as one table (column, value, code), however many there are."""
+    parts = [
+        codes.select(F.lit(name).alias("column"), F.col("value").cast("string").alias("value"), "code")
+        for name, codes in mappings.items()
+    ]
+    reduce(DataFrame.unionByName, parts).write.mode("overwrite").parquet(folder)
+
+
+def read_codes(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """What ``write_codes`` wrote, by column; the values are strings."""
+    written = spark.read.schema("column string, value string, code int").parquet(folder)
+    names = [r["column"] for r in written.select("column").distinct().collect()]  # one row per category column
+    return {name: written.filter(F.col("column") == name).drop("column") for name in names}
 
 
 def write_metrics(row: DataFrame, folder: str) -> None:

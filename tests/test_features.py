@@ -25,7 +25,9 @@ def test_price_features(spark):
 
 
 def test_relative_price_covers_the_whole_frame_or_a_given_part(spark):
-    df = spark.createDataFrame([(1, 1, 10.0), (2, 1, 30.0), (1, None, 5.0)], "week int, meal_id int, checkout_price double")
+    df = spark.createDataFrame([(1, 1, 10.0), (2, 1, 30.0), (1, None, 5.0)], "week int, meal_id int, checkout_price double").selectExpr(
+        "*", "40.0D as base_price"
+    )
     assert rows(ft.relative_price(df).select("week", "meal_rel_price"), "meal_rel_price") == [(1, None), (1, 0.5), (2, 1.5)]
     part = ft.relative_price(df, fit_on=df.filter("week = 1")).filter("meal_id = 1")
     assert rows(part.select("meal_rel_price"), "meal_rel_price") == [(1.0,), (3.0,)]

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from conftest import rows
 
-from larder.operators.heavy import cumulate, exact_quantiles, group_median, group_quantiles, heavy_groups, value_counts
+from larder.operators.heavy import cumulate, cut_series, exact_quantiles, group_median, group_quantiles, heavy_groups, value_counts
 
 PROBS = [0.0, 0.1, 0.37, 0.5, 0.9, 1.0]
 
@@ -19,7 +19,7 @@ def data(seed):
 def test_quantiles_equal_numpy(spark, light_rows):
     points = data(light_rows)
     df = spark.createDataFrame(points, "k string, v double").repartition(4)
-    got = group_quantiles(df, ["k"], "v", PROBS, light_rows=light_rows, share=10**6, pieces=8)
+    got = group_quantiles(df, ["k"], "v", PROBS, light_rows=light_rows, pieces=8)
     groups = {k: [v for key, v in points if key == k] for k in {k for k, _ in points}}
     found = {r.k: r.quantiles for r in got.collect()}
     assert found.keys() == groups.keys()
@@ -39,9 +39,19 @@ def test_null_keys_are_left_out(spark):
     assert rows(group_median(df, ["k"], "v", "m")) == [("a", 1.0)]
 
 
-def test_heavy_groups_are_few(spark):
-    df = spark.range(10_000).selectExpr("case when id % 3 = 0 then 0 else id end as k")
-    assert rows(heavy_groups(df, ["k"], light_rows=0, share=100).select("k", "group_rows")) == [(0, 3334)]
+def test_heavy_groups_are_those_beyond_the_limit(spark):
+    df = spark.range(10_000).selectExpr("case when id % 3 = 0 then 0 when id < 100 then 1 else id end as k")
+    assert rows(heavy_groups(df, ["k"], light_rows=66).select("k", "group_rows")) == [(0, 3334)]
+    assert heavy_groups(df, ["k"], light_rows=3334).count() == 0
+
+
+def test_a_hot_group_is_cut_into_pieces_of_the_allowed_size(spark):
+    """A third of the rows in one series: no task orders more than the limit of them."""
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, -1, id % 500) as k", "id as week", "cast(id as double) as y")
+    cut = cut_series(df, ["k"], ["week"], 2, ["y"], light_rows=1000)
+    sizes = cut.groupBy("k", "piece").count()
+    assert sizes.agg({"count": "max"}).first()[0] <= 1000 and sizes.filter("k = -1").count() >= 10
+    assert cut.filter("NOT halo").count() == 30_000
 
 
 def test_cumulate_equals_brute_force(spark):

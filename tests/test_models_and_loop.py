@@ -2,13 +2,16 @@ import json
 
 import pytest
 from conftest import rows
-from test_backtest_and_scenarios import WALK, harness
+from panels import store_panel, store_rows
+from test_backtest_and_scenarios import WALK
 
 from larder.config import BoostSpec, Settings, WeekSplit
 from larder.operators.boosted import BoostedForecaster, ModelFileError, NotFitted, challenger_spec, driver_attribution
 from larder.operators.forecast import MedianForecaster
 from larder.plans import backtest as bt
-from larder.plans.adaptive import AdaptiveLoop, FeedbackLog, correct_batch, feedback_rows, feedback_summary
+from larder.plans.adaptive import (
+    ABOVE_LIMIT, NO_ROWS, AdaptiveLoop, ChampionShelf, FeedbackLog, correct_batch, feedback_rows, feedback_summary, newest_profiles,
+)
 from larder.plans.training import train
 from larder.session import fresh_folder
 from larder.sources import artifacts
@@ -20,7 +23,7 @@ TINY = BoostSpec(trees=3, depth=2, rate=0.5, row_share=1.0, column_share=1.0, mi
 
 @pytest.fixture(scope="module")
 def boosted(spark):
-    df = harness(spark)
+    df = store_panel(spark)
     return BoostedForecaster(FEATURES, TINY).fit(df), df
 
 
@@ -87,7 +90,7 @@ def test_best_length_follows_the_patience():
 
 
 def test_validation_shortens_the_model(spark):
-    df = harness(spark)
+    df = store_panel(spark)
     spec = BoostSpec(trees=6, depth=4, rate=1.0, row_share=1.0, column_share=1.0, min_rows=1, patience=1)
     model = BoostedForecaster(["week"], spec).fit(df.filter("week <= 10"), df.filter("week > 20"))
     assert model.model.getNumTrees < 6
@@ -100,7 +103,7 @@ def test_challenger_spec():
 
 
 def test_attribution_finds_the_feature_in_use(spark):
-    df = harness(spark)
+    df = store_panel(spark)
     model = MedianForecaster().fit(df)
     got = {r.feature: r.wmape_change for r in driver_attribution(model, df, ["center_id", "meal_id", "any_promo"]).collect()}
     assert got["any_promo"] == 0.0 and got["center_id"] > 0.01
@@ -109,8 +112,8 @@ def test_attribution_finds_the_feature_in_use(spark):
 
 
 def test_boosted_backtest(spark):
-    out = bt.backtest(harness(spark), lambda: BoostedForecaster(FEATURES, TINY), walk=WALK)
-    assert out.folds.count() == 2 and out.predictions.count() == 32
+    out = bt.backtest(store_panel(spark), lambda: BoostedForecaster(FEATURES, TINY), walk=WALK)
+    assert out.folds.count() == 2 and out.predictions.count() == sum(r[1] >= 24 for r in store_rows(31))
 
 
 # --- feedback and loop -----------------------------------------------------------------------------
@@ -173,7 +176,7 @@ def test_loop_improves_logs_and_reports(spark):
     assert not result.retrain and not result.promoted and result.challenger_wmape is None
     assert loop.profiles.count() == 4 and loop.log.read().count() == 56
     empty = loop.process(realized(spark).limit(0))
-    assert empty.reasons == ["Empty batch provided."] and loop.iteration == 1
+    assert empty.reasons == [NO_ROWS] and loop.iteration == 1
 
 
 def test_forced_retraining_promotes_only_a_better_model(spark):
@@ -193,17 +196,17 @@ def test_forced_retraining_promotes_only_a_better_model(spark):
 def test_bad_champion_triggers_retraining(spark):
     df = realized(spark).selectExpr(*[c for c in realized(spark).columns if c != "forecast_orders"], "10.0D as forecast_orders")
     result = AdaptiveLoop(Ready(), FeedbackLog(spark, fresh_folder(spark, "log"))).process(df)
-    assert result.retrain and result.reasons[0].startswith("WMAPE exceeded tolerance")
+    assert result.retrain and result.reasons == [ABOVE_LIMIT]
 
 
 def test_stream_equals_batches_and_replay_adds_nothing(spark):
-    data = harness(spark)
+    data = store_panel(spark)
     champion = MedianForecaster().fit(data.filter("week <= 20"))
     landing, state = fresh_folder(spark, "landing"), fresh_folder(spark, "state")
     log = FeedbackLog(spark, fresh_folder(spark, "log"))
     loop = AdaptiveLoop(champion, log, profiles_folder=fresh_folder(spark, "profiles"))
     stream = FeedbackStream(spark, landing, data.schema, loop, state)
-    parts = [data.filter("week BETWEEN 21 AND 24"), data.filter("week BETWEEN 25 AND 29")]
+    parts = [data.filter("week BETWEEN 21 AND 24"), data.filter("week BETWEEN 25 AND 31")]
     for part in parts:
         part.write.mode("append").parquet(landing)
         stream.run_available()
@@ -213,13 +216,82 @@ def test_stream_equals_batches_and_replay_adds_nothing(spark):
         corrected, _ = correct_batch(part, champion)
         frame = corrected.drop("forecast_orders").withColumnRenamed("adaptive_orders", "forecast_orders")
         want += rows(feedback_rows(frame.withColumnRenamed("num_orders", "actual_orders"), number).drop("recorded_at"))
-    assert got == sorted(want) and len(got) == 36
+    assert got == sorted(want) and len(got) == sum(r[1] > 20 for r in store_rows(31))
     stream.run_available()  # nothing new
-    assert log.everything().count() == 36
+    assert log.everything().count() == len(got)
     loop.process(parts[1], batch_id=1)  # the same batch once more
     assert sorted(rows(log.everything().drop("recorded_at"))) == got
 
 
+def test_the_log_keeps_every_record_unless_a_limit_is_asked_for(spark):
+    many = spark.range(150_000).selectExpr(
+        "cast(id % 50 as int) as week", "id as center_id", "1 as meal_id", "1.0D as forecast_orders", "2.0D as actual_orders"
+    )
+    log = FeedbackLog(spark, fresh_folder(spark, "log"))
+    log.record(many, 1)
+    assert log.read().count() == log.summary().first().sample_count == 150_000
+    assert FeedbackLog(spark, log.folder, max_history=500).read().count() == 500
+
+
+def test_any_number_of_codes_can_be_written(spark):
+    codes = spark.range(10_001).selectExpr("cast(id as string) as value", "cast(id as int) as code")
+    folder = fresh_folder(spark, "codes")
+    artifacts.write_codes({"a": codes, "b": codes.limit(3)}, folder)
+    back = artifacts.read_codes(spark, folder)
+    assert back["a"].count() == 10_001 and back["b"].count() == 3
+
+
+class Level(MedianForecaster):
+    """A constant that can be saved."""
+
+    def __init__(self, level=0.0):
+        self.level = level
+
+    def fit(self, df, validation=None):
+        self.level = df.agg({"num_orders": "avg"}).first()[0]
+        return self
+
+    def transform(self, df):
+        from pyspark.sql import functions as F
+
+        return df.drop("forecast_orders").withColumn("forecast_orders", F.lit(float(self.level)))
+
+    def save(self, folder):
+        from pyspark.sql import SparkSession
+
+        SparkSession.getActiveSession().createDataFrame([(float(self.level),)], "level double").write.mode("overwrite").json(folder)
+
+    @classmethod
+    def load(cls, spark, folder):
+        return cls(spark.read.json(folder).first().level)
+
+
+def test_restart_after_a_promotion_repeats_a_batch_exactly(spark):
+    places = [fresh_folder(spark, name) for name in ("log", "shelf", "profiles")]
+    seeds = []
+
+    def rival(number):
+        seeds.append(number)
+        return Level()
+
+    def loop():
+        shelf = ChampionShelf(spark, places[1], Level)
+        return AdaptiveLoop(Level(1.0), FeedbackLog(spark, places[0]), challenger=rival, profiles_folder=places[2], shelf=shelf)
+
+    data = store_panel(spark)
+    parts = [data.filter("week <= 10"), data.filter("week BETWEEN 11 AND 20"), data.filter("week > 20")]
+    first = loop()
+    results = [first.process(part, batch_id=n) for n, part in enumerate(parts)]
+    assert [r.promoted for r in results][0] and seeds[0] == 0
+    log = sorted(rows(first.log.everything().drop("recorded_at")))
+    again = loop()
+    assert again.process(parts[1], batch_id=1) == results[1]
+    assert again.process(parts[2], batch_id=2) == results[2]
+    assert loop().process(parts[0], batch_id=0) == results[0]
+    assert sorted(rows(again.log.everything().drop("recorded_at"))) == log
+    assert newest_profiles(spark, places[2]).count() == 6
+
+
 # --- written results -------------------------------------------------------------------------------
 
 
@@ -234,7 +306,7 @@ def test_feature_table_round_trip_reads_only_its_weeks(spark):
 
 
 def test_training_writes_everything(spark):
-    df = harness(spark)
+    df = store_panel(spark)
     raw = ["id", "week", "center_id", "meal_id", "checkout_price", "base_price", "emailer_for_promotion", "homepage_featured", "num_orders"]
     tables = {
         "train": df.select(*raw),
@@ -242,14 +314,18 @@ def test_training_writes_everything(spark):
         "meals": df.select("meal_id", "category", "cuisine").distinct(),
     }
     folder = fresh_folder(spark, "run")
-    settings = Settings(split=WeekSplit(20, 24, 29), boost=TINY)
+    settings = Settings(split=WeekSplit(20, 24, 31), boost=TINY)
     result = train(tables, settings, folder=folder)
-    assert len(result.features) == 37 and (result.train_rows, result.test_rows) == (80, 20)
+    assert len(result.features) == 37 and (result.train_rows, result.test_rows) == (
+        sum(r[1] <= 20 for r in store_rows(31)),
+        sum(r[1] > 24 for r in store_rows(31)),
+    )
     assert result.top_features.count() == 15 and result.totals.first().total_forecasted_units > 0
-    written = spark.read.json(f"{folder}/models/metrics").first()
-    assert written.codes_center_type.TYPE_B == 1
+    assert spark.read.json(f"{folder}/models/metrics").first().baseline_metrics.wmape > 0
+    codes = artifacts.read_codes(spark, f"{folder}/models/codes")
+    assert rows(codes["center_type"], "value") == [("CITY", 0), ("ROAD", 1)]
     back = artifacts.read_plan(spark, f"{folder}/data/processed/inventory_recommendations", result.plan.schema)
-    assert back.count() == 20
+    assert back.count() == result.test_rows
     assert BoostedForecaster.load(spark, f"{folder}/models/boosted").features == result.features
     with pytest.raises(ValueError):
-        train(tables, Settings(split=WeekSplit(24, 20, 29)), forecaster=MedianForecaster())
+        train(tables, Settings(split=WeekSplit(24, 20, 31)), forecaster=MedianForecaster())

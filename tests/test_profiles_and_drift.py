@@ -214,3 +214,23 @@ def test_sample_is_stable_and_exact(spark):
     df = spark.range(500).repartition(5)
     first, second = (sorted(rows(split.fixed_sample(df, 40))) for _ in range(2))
     assert first == second and len(first) == 40 and len(rows(split.fixed_sample(df, 900))) == 500
+
+
+def test_features_without_finite_values_stay_in_the_report(spark):
+    data = [("baseline" if k < 20 else "current", float(k % 20), None if k % 2 else float("nan")) for k in range(40)]
+    sided = spark.createDataFrame(data, "side string, a double, b double")
+    found = {r.feature: r for r in drift.feature_drift(sided, ["a", "b"]).collect()}
+    assert set(found) == {"a", "b"} and (found["b"].psi, found["b"].ks_p_value, found["b"].is_drifted) == (0.0, 1.0, False)
+    assert drift.drift_status(drift.feature_drift(sided, ["a", "b"])).first().features == 2
+
+
+def test_missing_demand_price_and_forecast_are_not_numbers(spark):
+    clean = [(1, 1, w, 100.0 + 5 * w, 90.0 - 4 * w, 80.0) for w in range(1, 9)]
+    schema = "center_id bigint, meal_id int, week int, checkout_price double, num_orders double, forecast_orders double"
+    gaps = [(1, 1, 20, 150.0, None, 80.0), (1, 1, 21, None, 50.0, 80.0), (1, 1, 22, float("nan"), 50.0, None)]
+    want = profiles.profile_numbers(spark.createDataFrame(clean, schema)).first().elasticity
+    got = profiles.profile_numbers(spark.createDataFrame(clean + gaps, schema)).first().elasticity
+    assert abs(got - want) < 1e-12
+    table = profiles.sku_profiles(spark.createDataFrame(clean, schema))
+    out = rows(profiles.adaptive_forecast(spark.createDataFrame(gaps, schema), table).select("week", "adaptive_orders"), "week")
+    assert [x is None for _, x in out] == [False, False, True]

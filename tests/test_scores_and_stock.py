@@ -157,3 +157,12 @@ def test_slices_need_five_rows(spark):
     df = spark.createDataFrame(data, "center_type string, homepage_featured int, num_orders double, forecast_orders double")
     got = {(r.dimension, r.slice): (r.sample_count, r.mae) for r in sliced_scores(df).collect()}
     assert got == {("center_type", "A"): (5, 2.0), ("homepage_featured", "1"): (5, 2.0), ("homepage_featured", "0"): (9, 0.0)}
+
+
+def test_replay_scores_only_rows_with_demand_and_forecast(spark):
+    data = [(100.0, 110.0), (None, 40.0), (60.0, None), (float("nan"), 5.0)]
+    df = spark.createDataFrame(data, "forecast_orders double, actual_orders double")
+    for r in inventory.replay_report(inventory.policy_replay(df)).collect():
+        assert r.unscored_rows == 3 and r.total_demand_units == 110.0 and 0 <= r.fill_rate_percentage <= 100
+    missing = inventory.policy_rows(df).filter("actual_orders IS NULL OR forecast_orders IS NULL")
+    assert missing.filter("fulfilled IS NOT NULL OR stockout IS NOT NULL OR wasted IS NOT NULL").count() == 0

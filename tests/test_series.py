@@ -65,7 +65,7 @@ def hot_panel(spark, seed):
 @pytest.mark.parametrize("seed, light_rows", [(1, 25), (2, 100)])
 def test_cut_series_equal_brute_force(spark, seed, light_rows):
     df, data = hot_panel(spark, seed)
-    got = history_features(df, lags=(1, 4, 10), windows=(3, 10), light_rows=light_rows, share=1000).toPandas()
+    got = history_features(df, lags=(1, 4, 10), windows=(3, 10), light_rows=light_rows).toPandas()
     want = pd.DataFrame(data, columns=["id", "week", "center_id", "meal_id", "y"]).sort_values(["week", "id"])
     groups = want.groupby(["center_id", "meal_id"])["y"]
     for n in (1, 4, 10):
