@@ -1,6 +1,6 @@
 """larder: demand-panel analytics on Spark DataFrames."""
 
-from .config import DEFAULTS, BoostSpec, FeatureSpec, Locations, Settings, StockPolicy, WeekSplit
+from .config import DEFAULTS, BoostSpec, FeatureSpec, Settings, StockPolicy, WeekSplit
 from .operators.boosted import BoostedForecaster
 from .operators.forecast import Forecaster, MedianForecaster, score
 from .operators.inventory import plan_totals, policy_replay, recommend, stock_plan
@@ -18,7 +18,6 @@ __all__ = [
     "FeatureSpec",
     "FeedbackLog",
     "Forecaster",
-    "Locations",
     "MedianForecaster",
     "Settings",
     "StockPolicy",

@@ -5,34 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 
-@dataclass(frozen=True)
-class Locations:
-    """Folders below one root; the root may be any URI Spark can write to."""
-
-    root: str = "."
-
-    @property
-    def raw(self) -> str:
-        return f"{self.root}/data/raw"
-
-    @property
-    def processed(self) -> str:
-        return f"{self.root}/data/processed"
-
-    @property
-    def models(self) -> str:
-        return f"{self.root}/models"
-
-    @property
-    def figures(self) -> str:
-        return f"{self.root}/reports/figures"
-
-
 @dataclass(frozen=True)
 class StockPolicy:
     service_level: float = 0.95
     lead_time_weeks: int = 1
-    holding_cost_rate: float = 0.15
     min_safety_stock: float = 5.0
 
 
@@ -69,19 +45,16 @@ class BoostSpec:
     row_share: float = 0.8  # subsamplingRate
     column_share: float = 0.8  # featureSubsetStrategy
     min_rows: int = 3  # minInstancesPerNode
-    min_gain: float = 0.1  # minInfoGain is scaled differently, see BoostedForecaster
     patience: int = 40
     seed: int = 42
 
 
 @dataclass(frozen=True)
 class Settings:
-    locations: Locations = field(default_factory=Locations)
     split: WeekSplit = field(default_factory=WeekSplit)
     stock: StockPolicy = field(default_factory=StockPolicy)
     features: FeatureSpec = field(default_factory=FeatureSpec)
     boost: BoostSpec = field(default_factory=BoostSpec)
-    seed: int = 42
 
 
 DEFAULTS = Settings()

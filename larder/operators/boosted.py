@@ -20,8 +20,6 @@ from ..sources.staging import stage
 from .forecast import FORECAST, Forecaster
 
 VECTOR, LABEL, RAW = "_features", "_label", "_raw"
-# Trees used when the caller does not ask for more: each tree is a few Spark jobs.
-USUAL = BoostSpec(trees=20, depth=5, rate=0.2, column_share=1.0, row_share=1.0)
 
 
 class NotFitted(RuntimeError):
@@ -35,15 +33,14 @@ class ModelFileError(ValueError):
 class BoostedForecaster(Forecaster):
     """Gradient-boosted trees on log1p of the target, clipped at 0.
 
-    MLlib has no L2 penalty, and its gain threshold is a variance reduction per row while
-    ``BoostSpec.min_gain`` is one per node; the threshold is therefore left at 0. With a validation frame
+    MLlib has no L2 penalty, and it measures gain per row, so no gain threshold is set. With a validation frame
     the number of trees is the best one found before ``patience`` trees without improvement.
     """
 
     def __init__(
         self,
         features: Sequence[str],
-        spec: BoostSpec = USUAL,
+        spec: BoostSpec = BoostSpec(),
         target: str = "num_orders",
         log_target: bool = True,
         max_bins: int = 64,

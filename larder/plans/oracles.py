@@ -276,10 +276,13 @@ outcomes AS (
 
 # --- drift -----------------------------------------------------------------------------------------
 
-DRIFT_FEATURES = ("checkout_price", "base_price", "discount_ratio", "price_ratio", "num_orders")
+DRIFT_FEATURES = (
+    "checkout_price", "base_price", "discount_amount", "discount_ratio", "price_ratio", "emailer_for_promotion", "homepage_featured",
+    "both_promos", "any_promo", "promo_discount_synergy", "week_of_year", "month_proxy", "quarter_proxy", "center_id", "meal_id", "num_orders",
+)
 SIDES = """sides AS (
   SELECT *, CASE WHEN week <= (SELECT quantile_cont(week, 0.5) FROM panel) THEN 'baseline' ELSE 'current' END AS side
-  FROM priced)"""
+  FROM (SELECT *, """ + CALENDAR + """ FROM priced))"""
 
 
 def long(features=DRIFT_FEATURES) -> str:
@@ -971,3 +974,6 @@ FROM (SELECT wmape AS champion_wmape FROM (SELECT {measures(names="wmape")} FROM
     ),
     "region_kpis": q(_panel("region"), SCORED, PLAN, select=KPIS),
 }
+
+ORACLES["feature_pipeline"] = ORACLES["feature_frame"]
+ORACLES["training_pipeline"] = ORACLES["training_run_median"]

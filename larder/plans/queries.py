@@ -39,7 +39,10 @@ KEYS = ["center_id", "meal_id"]
 ID = ["week", "center_id", "meal_id"]
 WALK = bt.Walk(folds=3, test_weeks=10, min_train_weeks=50)
 SMALL_BOOST = BoostSpec(trees=8, depth=4, rate=0.3, row_share=1.0, column_share=1.0, min_rows=3)
-DRIFT_FEATURES = ["checkout_price", "base_price", "discount_ratio", "price_ratio", "num_orders"]
+DRIFT_FEATURES = [
+    "checkout_price", "base_price", "discount_amount", "discount_ratio", "price_ratio", "emailer_for_promotion", "homepage_featured",
+    "both_promos", "any_promo", "promo_discount_synergy", "week_of_year", "month_proxy", "quarter_proxy", "center_id", "meal_id", "num_orders",
+]
 ARRIVAL_WEEKS = 7
 
 
@@ -736,7 +739,7 @@ def category_codes(spark, d):
 
 
 def _sides(spark, d) -> DataFrame:
-    return split.half_split(stage(priced(panel(spark, d)), "priced"))
+    return split.half_split(stage(features.calendar_features(priced(panel(spark, d))), "priced"))
 
 
 @query
@@ -744,7 +747,7 @@ def ks_cumulative(spark, d):
     from ..operators.heavy import cumulate
 
     counts = stage(drift.side_counts(_sides(spark, d), ["checkout_price", "num_orders"]), "counts")
-    steps = cumulate(counts, "feature", ["baseline_rows", "current_rows"])
+    steps = cumulate(counts.filter("value IS NOT NULL"), "feature", ["baseline_rows", "current_rows"])
     return tidy(steps, 9).select("feature", "value", "upto_baseline_rows", "upto_current_rows")
 
 
@@ -1119,10 +1122,10 @@ def adaptive_loop(spark, d):
 def challenger_promotion(spark, d):
     frame, names = boosted_frame(spark, d)
     champion = MedianForecaster().fit(frame.filter(F.col("week") <= SPLIT.train_end))
-    small = replace(SMALL_BOOST, trees=2)
+    small = replace(SMALL_BOOST, trees=2)  # the rule adds a hundred trees
 
     def rival(iteration: int) -> BoostedForecaster:
-        return BoostedForecaster(names, replace(challenger_spec(small, iteration), trees=5, rate=0.3))
+        return BoostedForecaster(names, challenger_spec(small, iteration))
 
     log = adaptive.FeedbackLog(spark, fresh_folder(spark, "feedback"))
     shelf = fresh_folder(spark, "champion")
@@ -1215,3 +1218,8 @@ def region_plan(spark, d):
 @query
 def region_kpis(spark, d):
     return inventory.plan_totals(test_plan(spark, d, "region"))
+
+
+# The operators' own names for queries that were registered by what they return.
+QUERIES["feature_pipeline"] = QUERIES["feature_frame"]
+QUERIES["training_pipeline"] = QUERIES["training_run_median"]
