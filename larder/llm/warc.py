@@ -2,8 +2,8 @@
 
 Archives are written by the text sink, one record per value and the record terminator as line separator, so
 they are committed like any other output of Spark and may lie in any store that Spark writes to. They are read
-by the text source with the start of a record as separator, so that a record, not a file, is the unit in
-memory, and compressed archives are streamed. A separator inside a payload would split its record; the
+by the text source with the version line of a record as separator, so that a record, not a file, is the unit
+in memory, and compressed archives are streamed. A version line inside a payload would split its record; the
 declared length shows that, and such archives are read again as whole files by a parser that follows lengths.
 
 A capture is a response (or revisit) record with the request and metadata records that name it, or that it
@@ -146,7 +146,9 @@ def _parsed(raw: DataFrame) -> DataFrame:
     """Records from ``path, head, body``: header lines, and the block with its terminator."""
     length = F.expr("try_cast(_length as int)")
     out = raw.withColumn("_length", _header("head", "Content-Length"))
-    out = out.withColumn("complete", F.coalesce((length >= 0) & (F.octet_length("body") >= length), F.lit(False)))
+    # Anything but a block of the declared length and the terminator means that a record was split or two were not.
+    fits = (length >= 0) & (F.octet_length("body") == length + len(END))
+    out = out.withColumn("complete", F.coalesce(fits, F.lit(False)))
     out = out.withColumn("block", F.substring(F.col("body"), F.lit(1), length))
     out = out.select(
         "path",
@@ -186,11 +188,9 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     ``head`` has the record's header lines, ``payload`` is binary. Only a file in which a declared length does
     not fit is read as a whole by one task.
     """
-    pieces = spark.read.option("lineSep", f"{END}{VERSION}{CRLF}").text(folder)
-    raw = F.col("value").cast("binary")
-    first = F.startswith("value", F.lit(f"{VERSION}{CRLF}"))  # of a file: no separator before it
-    raw = F.when(first, F.substring(raw, F.lit(len(VERSION) + 3), F.octet_length("value"))).otherwise(raw)
-    pieces = pieces.select(F.col("_metadata.file_path").alias("path"), raw.alias("value"))
+    # Each record follows a version line; what stands before the first one is empty.
+    pieces = spark.read.option("lineSep", f"{VERSION}{CRLF}").text(folder).filter(F.octet_length("value") > 0)
+    pieces = pieces.select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("value"))
     # The header is text; the rest is cut off by bytes.
     text = F.col("value").cast("string")
     at = F.locate(END, text)
@@ -198,6 +198,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     body = F.substring("value", F.octet_length(head) + 3, F.octet_length("value"))
     records = _parsed(pieces.select("path", head.alias("head"), body.alias("body")))
     broken = stage(records.filter(~F.coalesce("complete", F.lit(False)) | F.col("type").isNull()).select("path").distinct(), "broken")
+    if broken.isEmpty():
+        return records.drop("complete")
     whole = records.join(broken, "path", "left_anti")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,10 +214,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                     plain += member.decompress(data)
                     data = member.unused_data
                 for head, block in parse_file(plain or data):
-                    yield pa.RecordBatch.from_pydict({"path": [path], "head": [head], "body": [block]})
+                    yield pa.RecordBatch.from_pydict({"path": [path], "head": [head], "body": [block + END.encode()]})
 
-    if broken.isEmpty():
-        return whole.drop("complete")
     files = spark.read.format("binaryFile").load(folder)
     files = files.select(F.col("_metadata.file_path").alias("path"), "content").join(broken, "path", "left_semi")
     again = _parsed(files.mapInArrow(parse, "path string, head string, body binary"))
