@@ -13,7 +13,7 @@ names, in WARC-Concurrent-To. Assembly joins them through these identifiers to o
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -123,7 +123,7 @@ def write_archives(found: DataFrame, folder: str, compression: str = "gzip") ->
         beside("request", "application/http; msgtype=request", asked), main, beside("metadata", "application/warc-fields", about)
     )
     values = found.select(F.explode(records).alias("value")).select(F.col("value").cast("string"))
-    values.write.mode("errorifexists").option("lineSep", END).option("compression", compression).text(folder)
+    values.write.mode("errorifexists").option("lineSep", END).option("compression", compression).option("zlib.compress.level", "BEST_SPEED").text(folder)
     return folder
 
 
@@ -181,12 +181,13 @@ def parse_file(data: bytes) -> Iterator[tuple[str, bytes]]:
         at = close + 4 + size
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
+def read_archives(spark: SparkSession, folder: str, reduce_to: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Records of all archives below ``folder``, plain or gzip-compressed.
 
     ``path, type, record_id, concurrent_to, target_uri, declared_digest, refers_to, head, http_head, payload``;
     ``head`` has the record's header lines, ``payload`` is binary. Only a file in which a declared length does
-    not fit is read as a whole by one task.
+    not fit is read as a whole by one task. ``reduce_to`` may replace columns by what is needed of them (all but
+    ``path, complete, type``); its result is written, so that the archives are read once.
     """
     # Each record follows a version line; what stands before the first one is empty.
     pieces = spark.read.option("lineSep", f"{VERSION}{CRLF}").text(folder).filter(F.octet_length("value") > 0)
@@ -197,6 +198,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     head = F.when(at > 0, F.substring(text, F.lit(1), at + 1))
     body = F.substring("value", F.octet_length(head) + 3, F.octet_length("value"))
     records = _parsed(pieces.select("path", head.alias("head"), body.alias("body")))
+    if reduce_to is not None:
+        records = stage(reduce_to(records), "records")
     broken = stage(records.filter(~F.coalesce("complete", F.lit(False)) | F.col("type").isNull()).select("path").distinct(), "broken")
     if broken.isEmpty():
         return records.drop("complete")
@@ -219,6 +222,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(folder)
     files = files.select(F.col("_metadata.file_path").alias("path"), "content").join(broken, "path", "left_semi")
     again = _parsed(files.mapInArrow(parse, "path string, head string, body binary"))
+    if reduce_to is not None:
+        again = reduce_to(again)
     return whole.union(again).drop("complete")
 
 
@@ -259,9 +264,12 @@ def page_captures(spark: SparkSession, pages: DataFrame, folder: str) -> DataFra
     ``page_id, payload_bytes, payload_digest, record_type, refers_to, n_requests, n_metadata`` for every page;
     the bytes and the digest of a response are those of the payload read back, of a revisit the declared ones.
     """
-    records = read_archives(spark, write_archives(captures(pages), folder))
-    sizes = records.withColumn("own_bytes", F.octet_length("payload").cast("long")).withColumn("own_digest", F.sha1("payload"))
-    nested = assemble(sizes.withColumn("payload", F.when(~F.col("type").isin(*MAIN), F.col("payload"))))
+
+    def digested(records: DataFrame) -> DataFrame:
+        sizes = records.withColumns({"own_bytes": F.octet_length("payload").cast("long"), "own_digest": F.sha1("payload")})
+        return sizes.withColumn("payload", F.when(~F.col("type").isin(*MAIN), F.col("payload")))
+
+    nested = assemble(read_archives(spark, write_archives(captures(pages), folder), digested))
     record = F.col("record")
     revisit = record["type"] == "revisit"
     flat = nested.withColumns({"head": record["head"], "http": record["http_head"]})
