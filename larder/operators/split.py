@@ -65,8 +65,8 @@ def equal_to(df: DataFrame, **wanted) -> DataFrame:
 
 
 def fixed_sample(df: DataFrame, n: int, key: str = "id", seed: int = 42) -> DataFrame:
-    """Up to n rows, the same ones each time: the n smallest hashes of the key."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """Up to n rows, the same ones each time: the n smallest MD5 hashes of the key and the seed."""
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key).limit(n)
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:

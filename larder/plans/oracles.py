@@ -926,6 +926,23 @@ FROM (SELECT wmape AS champion_wmape FROM (SELECT {measures(names="wmape")} FROM
     "residual_variance_ratio": q(
         PANEL, SCORED, RATIO, select=f"SELECT {r('residual_variance_ratio')} AS residual_variance_ratio FROM ratio"
     ),
+    "drift_report": q(
+        *DRIFT_CTES,
+        select=f"""SELECT CASE WHEN drifted_features / greatest(1, features) > 0.35 THEN 'CRITICAL_DRIFT'
+  WHEN drifted_features / greatest(1, features) > 0.15 OR target_p_value < 0.01 THEN 'MODERATE_DRIFT' ELSE 'HEALTHY' END AS status,
+  drifted_features, features, {rounded("target_p_value", 4)}, CAST(NULL AS DOUBLE) AS residual_variance_ratio,
+  feature AS name, {r("psi", 4)} AS psi, {r("ks_statistic", 4)} AS ks_stat, {r("ks_p_value", 4)} AS p_value, is_drifted, severity
+FROM drift, (SELECT count(*) FILTER (WHERE is_drifted) AS drifted_features, count(*) AS features FROM drift),
+  (SELECT ks_p_value AS target_p_value FROM ks_p WHERE feature = 'num_orders')""",
+    ),
+    "random_sample": q(
+        PANEL,
+        select=f"SELECT id, {rounded('checkout_price, num_orders')} FROM panel ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id LIMIT 1000",
+    ),
+    "model_persistence": q(
+        _panel("nation"),
+        select=f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS negative, CAST(0 AS BIGINT) AS differing FROM panel WHERE week > {VAL_END}",
+    ),
     "drift_status": q(
         *DRIFT_CTES,
         SCORED,

@@ -231,7 +231,9 @@ def model_persistence(spark, d):
     model.save(folder)
     loaded = BoostedForecaster.load(spark, folder)
     test = test_weeks(frame)
-    return forecast.compare({"kept": model.transform(test), "loaded": loaded.transform(test)}, "kept")
+    both = loaded.transform(model.transform(test).withColumnRenamed(FORECAST, "kept"))
+    differing = F.count_if(F.col("kept") != F.col(FORECAST)).cast("bigint").alias("differing")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("kept") < 0).cast("bigint").alias("negative"), differing)
 
 
 def _log(spark, d, max_history: int | None = None) -> adaptive.FeedbackLog:
@@ -1026,7 +1028,9 @@ def drift_status(spark, d):
 
 @query
 def drift_report(spark, d):
-    return drift.drift_report(_sides(spark, d), DRIFT_FEATURES)
+    """The nested report, one row per feature with the verdict beside it."""
+    report = drift.drift_report(_sides(spark, d), DRIFT_FEATURES)
+    return tidy(report.select(*[c for c in report.columns if c != "scores"], F.inline("scores")), 4)
 
 
 # --- forecasting, backtest, loop -------------------------------------------------------------------
