@@ -23,6 +23,7 @@ from .tables import stage
 @dataclass(frozen=True)
 class PassSpec:
     passes: int = 12
+    together: int = 4  # passes that share a shuffle, which holds the vectors once for each
     bits: int = 48  # of a key; enough to order 10^12 vectors
     window: int = 128  # followers that a vector is compared with in each pass
     threshold: float = 0.93
@@ -50,46 +51,45 @@ def _usable(column: str) -> Column:
     return x.isNotNull() & F.coalesce(finite, F.lit(False)) & F.coalesce(F.exists(x, lambda v: v != 0), F.lit(False))
 
 
-def pass_links(classes: DataFrame, number: int, spec: PassSpec) -> DataFrame:
-    """Verified links ``(a, b)`` of one pass over ``classes(rep, label, size, vector)``."""
-    keyed_schema = "label long, dims int, key long, rep long, vector array<double>"
+def pass_links(classes: DataFrame, numbers: range, spec: PassSpec) -> DataFrame:
+    """Verified links ``(a, b)`` of some passes over ``classes(rep, label, size, vector, dims)``, in one shuffle."""
+    names = ["pass", "label", "dims", "key", "rep", "vector"]
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                dims = batch.column(1).to_numpy()
-                for size in np.unique(dims):  # usually one
-                    part = batch.filter(pa.array(dims == size))
-                    keys = pa.array(sort_keys(_matrix(part.column(3)), number, spec))
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0), part.column(1), keys, part.column(2), part.column(3)], names=["label", "dims", "key", "rep", "vector"]
-                    )
+            dims = batch.column(1).to_numpy()
+            for size in np.unique(dims):  # usually one
+                part = batch.filter(pa.array(dims == size))
+                vectors = _matrix(part.column(3))
+                for number in numbers:
+                    keys = pa.array(sort_keys(vectors, number, spec))
+                    which = pa.array(np.full(len(part), number, np.int32))
+                    yield pa.RecordBatch.from_arrays([which, part.column(0), part.column(1), keys, part.column(2), part.column(3)], names=names)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None  # the last rows, to be met by later batches
+        held: tuple[tuple, np.ndarray, np.ndarray] | None = None  # the last rows, to be met by later batches
         for batch in batches:
             for at in range(0, len(batch), 1024):
                 part = batch.slice(at, 1024)
-                kinds = part.column(0).to_numpy() * 65_536 + part.column(1).to_numpy()
-                for kind in dict.fromkeys(kinds.tolist()):  # rows come in order of label and length
-                    rows = np.flatnonzero(kinds == kind)
-                    reps = part.column(3).to_numpy()[rows]
-                    units = _unit(_matrix(part.column(4).take(pa.array(rows))))
+                kinds = np.stack([part.column(c).to_numpy().astype(np.int64) for c in range(3)], 1)
+                # Rows come in order of pass, label and length.
+                edges = np.flatnonzero((kinds[1:] != kinds[:-1]).any(1)) + 1
+                for first, last in zip([0, *edges], [*edges, len(part)], strict=True):
+                    kind, run = tuple(kinds[first]), part.slice(first, last - first)
+                    reps, units, old = run.column(4).to_numpy(), _unit(_matrix(run.column(5))), 0
                     if held and held[0] == kind:
-                        reps, units = np.concatenate([held[1], reps]), np.concatenate([held[2], units])
-                        old = len(held[1])
-                    else:
-                        old = 0
-                    if len(reps) > 1:
-                        i, j = np.nonzero(units @ units.T >= spec.threshold - 1e-9)
-                        near = (j > i) & (j - i <= spec.window) & (j >= old)
-                        i, j = i[near], j[near]
-                        sure = np.einsum("ij,ij->i", units[i], units[j]) >= spec.threshold
-                        yield pa.RecordBatch.from_arrays([pa.array(reps[i[sure]]), pa.array(reps[j[sure]])], names=["a", "b"])
+                        reps, units, old = np.concatenate([held[1], reps]), np.concatenate([held[2], units]), len(held[1])
+                    i, j = np.nonzero(units @ units[old:].T >= spec.threshold - 1e-9)
+                    j += old
+                    near = (j > i) & (j - i <= spec.window)
+                    i, j = i[near], j[near]
+                    sure = np.einsum("ij,ij->i", units[i], units[j]) >= spec.threshold
+                    yield pa.RecordBatch.from_arrays([pa.array(reps[i[sure]]), pa.array(reps[j[sure]])], names=["a", "b"])
                     held = (kind, reps[-spec.window :], units[-spec.window :])
 
-    keys = classes.select("label", "dims", "rep", "vector").mapInArrow(keyed, keyed_schema)
-    order = keys.repartitionByRange("label", "dims", "key", "rep").sortWithinPartitions("label", "dims", "key", "rep")
+    schema = "pass int, label long, dims int, key long, rep long, vector array<double>"
+    keys = classes.select("label", "dims", "rep", "vector").mapInArrow(keyed, schema)
+    order = keys.repartitionByRange(*names[:5]).sortWithinPartitions(*names[:5])
     links = order.mapInArrow(compare, "a long, b long")
     return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
@@ -115,7 +115,10 @@ def near_vectors(
     able = rows.filter("vector is not null")
     classes = able.groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("size"))
     classes = stage(classes.withColumn("dims", F.size("vector")), "classes")
-    found = [stage(pass_links(classes, number, spec), "links") for number in range(spec.passes)]
+    found = []
+    for first in range(0, spec.passes, spec.together):
+        numbers = range(first, min(first + spec.together, spec.passes))
+        found.append(stage(pass_links(classes, numbers, spec), "links"))
     union = found[0]
     for more in found[1:]:
         union = union.union(more)
