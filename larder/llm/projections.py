@@ -4,6 +4,9 @@ In each pass every vector gets a key of random hash bits (signs of projections)
 vectors of a label are put in the order of their keys. Close vectors agree in most bits and so come to stand
 near each other; every vector is compared with a bounded number of followers, exactly and in double precision.
 Passes have hashes of their own; the verified pairs of all of them are united.
+
+In a component of more vectors than the window the passes cannot meet all pairs. Such a component is cut into
+blocks by a hash, and all pairs of blocks are compared, so that its links are counted exactly.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ class PassSpec:
     window: int = 128  # followers that a vector is compared with in each pass
     threshold: float = 0.93
     seed: int = 20
+    block: int = 2048  # vectors of a large component that are compared with each other at a time
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -94,13 +98,50 @@ def pass_links(classes: DataFrame, numbers: range, spec: PassSpec) -> DataFrame:
     return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _linked(rows: pa.Table, spec: PassSpec) -> pa.Table:
+    """``rep, others``: what each vector of a pair of blocks links with in the other block, or in its own."""
+    block, low, high = (rows.column(c).to_numpy() for c in ("block", "low", "high"))
+    reps, sizes = rows.column("rep").to_numpy(), rows.column("size").to_numpy()
+    units = _unit(_matrix(rows.column("vector").combine_chunks()))
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    alone = low[0] == high[0]
+    others = np.zeros(len(reps), np.int64)
+    for at in range(0, len(left), 512):
+        part = left[at : at + 512]
+        cosines = units[part] @ units[right].T
+        near = cosines >= spec.threshold - 1e-9
+        i, j = np.nonzero(near & (cosines < spec.threshold + 1e-9))
+        near[i, j] = np.einsum("ij,ij->i", units[part[i]], units[right[j]]) >= spec.threshold
+        if alone:
+            near[part[:, None] == right] = False
+        others[part] += near @ sizes[right]
+        if not alone:
+            others[right] += sizes[part] @ near
+    return pa.table({"rep": reps, "others": others})
+
+
+def count_in_large(classes: DataFrame, labels: DataFrame, spec: PassSpec) -> DataFrame:
+    """``rep, others`` for the vectors of components of more than ``window``: all their pairs are compared, by blocks."""
+    large = labels.groupBy("least").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > spec.window)
+    large = stage(labels.join(large.withColumn("blocks", F.ceil(F.col("n") / spec.block)), "least"), "large")
+    rows = classes.join(large, "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(
+        "least", "label", "dims", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rep", "size", "vector"
+    )
+    pairs = rows.groupBy("least", "label", "dims", "low", "high")
+    counted = pairs.applyInArrow(lambda table: _linked(table, spec), "rep long, others long")
+    return counted.groupBy("rep").agg(F.sum("others").alias("others"))
+
+
 def near_vectors(
     vectors: DataFrame, spec: PassSpec = PassSpec(), id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label"
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row.
 
     Vectors are compared if their labels are equal and not null. Equal vectors are one class, linked in full;
-    classes link if their cosine in double precision reaches the threshold and they meet in some pass.
+    classes link if their cosine in double precision reaches the threshold and they meet in some pass, or in a
+    component of more than ``window`` classes.
     ``n_links`` counts the other vectors linked directly, ``component_id`` is the smallest id reachable, ``kept``
     tells whether that is the row's own. Vectors that are null, all zero or hold null or non-finite components
     link with nothing, nor do rows without an id.
@@ -127,7 +168,9 @@ def near_vectors(
     sizes = classes.select("rep", "size")
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = both.join(sizes.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("size").alias("others"))
-    labels = components(links).withColumnsRenamed({"node": "rep", "component": "least"})
+    labels = stage(components(links).withColumnsRenamed({"node": "rep", "component": "least"}), "labels")
+    exact = stage(count_in_large(classes, labels, spec).withColumnRenamed("others", "all_others"), "counted")
+    others = others.join(exact, "rep", "full").select("rep", F.coalesce("all_others", "others").alias("others"))
     known = classes.join(others, "rep", "left").join(labels, "rep", "left")
     known = known.select(
         "label", "vector", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n"), F.coalesce("least", "rep").alias("least")
