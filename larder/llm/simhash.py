@@ -106,16 +106,17 @@ def simhash_components(
 
     Rows whose fingerprints differ in two bits or fewer are linked; ``component_id`` is the smallest id that
     links reach. Texts without words have fingerprint zero and are linked like any other. Rows with equal ids
-    are one node; a row without an id gets the component of its fingerprint, null if no row of it has an id.
+    are linked; a row without an id links like others, and has a null component if no row of it has an id.
     """
     prints = stage(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    known = classes.filter("rep is not null")
-    links = close_fingerprints(known, bucket)
+    classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    links = close_fingerprints(classes.select("fp", F.col("fp").alias("rep")), bucket)
     # An id that occurs with several fingerprints connects them.
     shared = prints.filter("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high")
-    repeated = prints.join(shared.select("doc_id"), "doc_id", "left_semi").join(known, "fp").filter("doc_id <> rep")
-    links = links.union(repeated.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    found = components(links).withColumnsRenamed({"node": "rep", "component": "_least"})
-    labels = classes.join(found, "rep", "left").select("fp", F.coalesce("_least", "rep").alias("component_id"))
+    repeated = prints.join(shared.select("doc_id", "low"), "doc_id").filter("fp <> low")
+    links = links.union(repeated.select(F.col("fp").alias("a"), F.col("low").alias("b")))
+    found = components(links).withColumnsRenamed({"node": "fp", "component": "_node"})
+    nodes = stage(classes.join(found, "fp", "left").select("fp", "least", F.coalesce("_node", "fp").alias("_node")), "nodes")
+    least = nodes.groupBy("_node").agg(F.min("least").alias("component_id"))
+    labels = nodes.join(least, "_node").select("fp", "component_id")
     return prints.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
