@@ -20,6 +20,16 @@ CONTRACTS = {
     "op7_ordinal_quality": ("documents", "doc_id", {"expected_grade": "double", "kept": "boolean"}),
     "op8_multi_index_simhash": ("documents", "doc_id", {"fingerprint": "string", "component_id": "bigint"}),
     "op9_digest_cache_counts": ("documents", "doc_id", {"n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"}),
+    "op11_block_table_fingerprints": (
+        "documents",
+        "doc_id",
+        {"n_chars": "bigint", **dict.fromkeys(["edited_sha256", "fingerprint", "edited_fingerprint"], "string"), "near_edited": "double", "near_next": "double"},
+    ),
+    "op13_framed_fill_in_middle": (
+        "documents",
+        "doc_id",
+        {"n": "bigint", "form": "string", "prefix_chars": "bigint", "middle_chars": "bigint", "output_sha256": "string", "restored_sha256": "string"},
+    ),
 }
 
 
@@ -38,8 +48,13 @@ def test_packing_contract(spark, small):
     assert kinds == {"doc_id": "bigint", "piece": "int", **dict.fromkeys(["start", "length", "ids_crc32", "sequence_id", "offset"], "bigint")}
 
 
+def test_ranking_contract(spark, small):
+    df = QUERIES["op12_shared_sums_ranking"](spark, small)
+    assert dict(df.dtypes) == {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"}
+
+
 def test_registry_has_them_all():
-    assert {f"op{n}_" for n in range(1, 11)} <= {name.split("_")[0] + "_" for name in QUERIES} and "pipeline" in QUERIES
+    assert {f"op{n}_" for n in range(1, 14)} <= {name.split("_")[0] + "_" for name in QUERIES} and "pipeline" in QUERIES
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(QUERIES)
 
 
@@ -47,7 +62,7 @@ def test_registry_has_them_all():
 def test_query_equals_sql(spark, small, name):
     df = QUERIES[name](spark, small)
     db = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "benchmark"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
     cursor = db.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
