@@ -101,7 +101,8 @@ TRAINING = "label int, shard int, place long, found array<int>, counts array<int
 def training_rows(docs: DataFrame, sample: DataFrame, features: Features, shards: int) -> DataFrame:
     """Features of the sampled texts, written: ``label, shard, place, found, counts``.
 
-    ``sample(doc_id, label)`` is bounded by its maker and broadcast; the texts stay where they are.
+    ``sample(doc_id, label)`` is bounded by its maker and broadcast; the texts stay where they are. Of several rows
+    with one id, the one whose features have the least hash is used, so that the bound holds for rows, too.
     """
     schema = pa.schema(
         [("label", pa.int32()), ("shard", pa.int32()), ("place", pa.int64()), ("found", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))]
@@ -119,7 +120,10 @@ def training_rows(docs: DataFrame, sample: DataFrame, features: Features, shards
     texts = docs.join(F.broadcast(sample), "doc_id").select(
         F.col("label").cast("int").alias("label"), F.pmod(order, F.lit(shards)).cast("int").alias("shard"), order.alias("place"), "text"
     )
-    return stage(texts.mapInArrow(work, TRAINING), "training")
+    keys = ["label", "shard", "place"]
+    each = F.struct(F.xxhash64("found", "counts").alias("hash"), "found", "counts")
+    one = texts.mapInArrow(work, TRAINING).groupBy(*keys).agg(F.min(each).alias("x"))
+    return stage(one.select(*keys, "x.found", "x.counts"), "training")
 
 
 def vocabulary(rows: DataFrame, least: int) -> np.ndarray:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import hashed
-from .blocks import text_blocks
+from .blocks import Block, text_blocks
 from .tables import documents
 
 
@@ -115,6 +115,34 @@ def fit(docs: DataFrame, labelled: DataFrame, spec: OrdinalSpec = OrdinalSpec())
     return OrdinalModel(known[1:], w[1:width], thresholds(w[width], w[width + 1 :]))
 
 
+def block_tails(block: Block, model: OrdinalModel) -> np.ndarray:
+    """For each text of a block the probabilities of grade 1 or better, grade 2 or better, ..."""
+    rows, found = hashed.style(block)
+    total = np.maximum(np.bincount(rows, minlength=len(block)), 1)
+    at, there = hashed.lookup(model.features, found)
+    keys, counts = np.unique((rows[there].astype(np.int64) << 32) | at[there], return_counts=True)
+    row = keys >> 32
+    scores = np.bincount(row, values(counts, total[row]) * model.weights[keys & 0xFFFFFFFF], len(block))
+    return sigmoid(scores[:, None] - model.thresholds)
+
+
+def kept_rows(docs: DataFrame, model: OrdinalModel, least: int = 1, tail: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``score`` keeps, with all their columns; decided where they are, none is moved.
+
+    A null text counts as empty: it has no feature. Equal texts are judged alike.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, block in text_blocks(batch.column(place)):
+                good = block_tails(block, shared.value)[:, least - 1] >= tail
+                yield batch.slice(first, len(block)).filter(pa.array(good))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def score(docs: DataFrame, model: OrdinalModel, least: int = 1, tail: float = 0.5) -> DataFrame:
     """``doc_id, expected_grade, tails, kept`` for every row of ``docs(doc_id, text)``.
 
@@ -125,16 +153,9 @@ def score(docs: DataFrame, model: OrdinalModel, least: int = 1, tail: float = 0.
     schema = pa.schema([("doc_id", pa.int64()), ("expected_grade", pa.float64()), ("tails", pa.list_(pa.float64()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             for first, block in text_blocks(batch.column(1)):
-                rows, found = hashed.style(block)
-                total = np.maximum(np.bincount(rows, minlength=len(block)), 1)
-                at, there = hashed.lookup(model.features, found)
-                keys, counts = np.unique((rows[there].astype(np.int64) << 32) | at[there], return_counts=True)
-                row = keys >> 32
-                scores = np.bincount(row, values(counts, total[row]) * model.weights[keys & 0xFFFFFFFF], len(block))
-                tails = sigmoid(scores[:, None] - model.thresholds)
+                tails = block_tails(block, shared.value)
                 lists = pa.array(list(tails), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(block)), pa.array(tails.sum(1)), lists], schema=schema

@@ -1,9 +1,10 @@
 """Quality rules: robust multivariate outliers of text statistics, with DataFrame functions only.
 
 Every document has a vector of transformed statistics. For each group of documents (language and source) the
-minimum-covariance-determinant estimate gives a centre and a scatter matrix that outliers do not move: starting
-from the rows nearest the median, concentration steps keep the share of rows with the smallest Mahalanobis
-distances and estimate again from them. Rows far beyond what the scatter allows are rejected.
+minimum-covariance-determinant estimate gives a centre and a scatter matrix that outliers do not move: from two
+starts, the rows nearest the median and those nearest the mean, concentration steps keep the share of rows with
+the smallest Mahalanobis distances and estimate again from them; of the two results the one with the smaller
+determinant counts. Rows far beyond what the scatter allows are rejected.
 
 All steps are aggregations by group over a written table of the narrow vectors, combined before the shuffle;
 the share is cut at an approximate quantile, so no group is sorted or gathered.
@@ -31,11 +32,15 @@ GROUP = ("_lang", "_source")
 @dataclass(frozen=True)
 class McdSpec:
     share: float = 0.75  # of a group's rows that its estimate rests on
-    steps: int = 4  # concentration steps
-    least_rows: int = 200  # groups with fewer rows are pooled by language
-    # Squared distance beyond which a row is rejected: for five dimensions chi-square exceeds it once in 10^12
+    # What the covariance of the central share falls short of that of all rows of a normal distribution in five
+    # dimensions, share / P(chi-square_7 <= the share's quantile of chi-square_5); belongs to the share above.
+    consistency: float = 1.412
+    steps: int = 8  # concentration steps at most; they end when no determinant falls by more than ``settled``
+    settled: float = 0.01
+    least_rows: int = 200  # groups with fewer rows are pooled by language, too small pools judged by all rows
+    # Squared distance beyond which a row is rejected: for five dimensions chi-square exceeds it once in 10^8
     # rows. Clean statistics have longer tails than the normal distribution; this leaves room for them.
-    cutoff: float = 65.0
+    cutoff: float = 46.0
     # Smallest standard deviation of each transformed statistic that counts; below it differences mean nothing.
     floors: tuple[float, ...] = (0.06, 0.06, 0.08, 0.10, 1.0)
     accuracy: int = 1000  # of the approximate quantiles
@@ -122,8 +127,11 @@ def vector(rows: DataFrame) -> list[Column]:
     ]
 
 
-def _same_group(left: str, right: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in ("_pooled", *GROUP)])
+KEYS = ("_level", *GROUP)  # level 0: language and source, 1: language (source null), 2: all rows (both null)
+
+
+def _same_group(left: str, right: str, keys: tuple[str, ...] = KEYS) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in keys])
 
 
 def _factor(estimates: DataFrame, spec: McdSpec) -> DataFrame:
@@ -143,10 +151,10 @@ def _factor(estimates: DataFrame, spec: McdSpec) -> DataFrame:
     return out
 
 
-def _with_distances(rows: DataFrame, estimates: DataFrame, spec: McdSpec) -> DataFrame:
+def _with_distances(rows: DataFrame, estimates: DataFrame, spec: McdSpec, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Adds the squared Mahalanobis distance ``_d``, null for a group without an estimate."""
     size = len(VECTOR)
-    joined = rows.alias("r").join(_factor(estimates, spec).alias("e"), _same_group("r", "e"), "left")
+    joined = rows.alias("r").join(_factor(estimates, spec).alias("e"), _same_group("r", "e", keys), "left")
     joined = joined.select("r.*", *[f"e.m_{i}" for i in range(size)], *[f"e.l_{i}_{j}" for i in range(size) for j in range(i + 1)])
     for i in range(size):  # solves l y = x - m
         rest = F.col(f"x_{i}") - F.col(f"m_{i}")
@@ -157,35 +165,74 @@ def _with_distances(rows: DataFrame, estimates: DataFrame, spec: McdSpec) -> Dat
     return joined.select(*[F.col(f"`{c}`") for c in rows.columns], total.alias("_d"))
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    """Mean and covariance of the vectors of each group."""
+def _moments(rows: DataFrame, start: Column) -> DataFrame:
+    """Mean and covariance of the vectors of each group, by start."""
     size = len(VECTOR)
     x = [F.col(f"x_{i}") for i in range(size)]
-    return rows.groupBy("_pooled", *GROUP).agg(
+    return rows.groupBy(*KEYS, start.alias("_start")).agg(
         *[F.avg(x[i]).alias(f"m_{i}") for i in range(size)],
         *[F.covar_pop(x[i], x[j]).alias(f"c_{i}_{j}") for i in range(size) for j in range(i + 1)],
     )
 
 
-def _start(rows: DataFrame, spec: McdSpec) -> DataFrame:
-    """Median and squared median deviation of each statistic: the first, diagonal estimate."""
+def _medians(rows: DataFrame, spec: McdSpec) -> DataFrame:
+    """Median and squared median deviation of each statistic: a diagonal estimate, start 0."""
     size = len(VECTOR)
-    keys = ["_pooled", *GROUP]
-    middle = rows.groupBy(*keys).agg(*[F.percentile_approx(f"x_{i}", 0.5, spec.accuracy).alias(f"m_{i}") for i in range(size)])
+    middle = rows.groupBy(*KEYS).agg(*[F.percentile_approx(f"x_{i}", 0.5, spec.accuracy).alias(f"m_{i}") for i in range(size)])
     near = rows.alias("r").join(middle.alias("m"), _same_group("r", "m"))
     away = near.select("r.*", *[F.abs(F.col(f"r.x_{i}") - F.col(f"m.m_{i}")).alias(f"a_{i}") for i in range(size)])
-    spread = away.groupBy(*keys).agg(
+    spread = away.groupBy(*KEYS).agg(
         *[(1.4826 * F.percentile_approx(f"a_{i}", 0.5, spec.accuracy)).alias(f"s_{i}") for i in range(size)]
     )
     both = middle.alias("m").join(spread.alias("s"), _same_group("m", "s"))
     zero = F.lit(0.0)
     return both.select(
-        *[f"m.{c}" for c in keys],
+        *[f"m.{c}" for c in KEYS],
+        F.lit(0).alias("_start"),
         *[f"m.m_{i}" for i in range(size)],
         *[(F.col(f"s.s_{i}") * F.col(f"s.s_{i}") if i == j else zero).alias(f"c_{i}_{j}") for i in range(size) for j in range(i + 1)],
     )
 
 
+def _log_determinant(estimates: DataFrame, spec: McdSpec) -> DataFrame:
+    found = _factor(estimates, spec)
+    return found.select(*estimates.columns, (2 * reduce(add, [F.log(f"l_{i}_{i}") for i in range(len(VECTOR))])).alias("_det"))
+
+
+def minimum_covariance(rows: DataFrame, spec: McdSpec) -> DataFrame:
+    """The estimate ``m_i, c_i_j`` of each group of the written ``rows(_level, _lang, _source, x_i)``.
+
+    Steps from both starts go on side by side, so that each pass over the rows serves both.
+    """
+    by_start = (*KEYS, "_start")
+    starts = _medians(rows, spec).unionByName(_moments(rows, F.lit(1)))
+    estimates = stage(_log_determinant(starts, spec), "estimate")
+    each = rows.withColumn("_start", F.explode(F.array(F.lit(0), F.lit(1))))
+    for step in range(spec.steps):
+        near = _with_distances(each, estimates, spec, by_start)
+        cut = near.groupBy(*by_start).agg(F.percentile_approx("_d", spec.share, spec.accuracy).alias("_cut"))
+        inside = near.alias("r").join(cut.alias("c"), _same_group("r", "c", by_start)).filter("r._d <= c._cut").select("r.*")
+        after = stage(_log_determinant(_moments(inside, F.col("_start")), spec), "estimate")
+        both = after.alias("a").join(estimates.alias("b"), _same_group("a", "b", by_start))
+        fall = both.agg(F.max(F.col("b._det") - F.col("a._det"))).first()[0]
+        estimates = after
+        if step and (fall is None or fall <= spec.settled):
+            break
+    numbers = [c for c in estimates.columns if c[:2] in ("m_", "c_")]
+    best = estimates.groupBy(*KEYS).agg(F.min_by(F.struct(*numbers), F.struct("_det", "_start")).alias("e"))
+    wider = [(F.col(f"e.{c}") * spec.consistency if c[0] == "c" else F.col(f"e.{c}")).alias(c) for c in numbers]
+    return stage(best.select(*KEYS, *wider), "estimate")
+
+
+def _groups(rows: DataFrame, spec: McdSpec) -> DataFrame:
+    """``_lang, _source, _level``: how each language and source is judged."""
+    sizes = stage(rows.groupBy(*GROUP).agg(F.count_if(~F.col("base_failed")).alias("_n")), "sizes")
+    small = sizes.filter(F.col("_n") < spec.least_rows).groupBy("_lang").agg(F.sum("_n").alias("_pool"))
+    pooled = sizes.alias("s").join(small.alias("p"), F.col("s._lang").eqNullSafe(F.col("p._lang")), "left")
+    level = F.when(F.col("_n") >= spec.least_rows, 0).when(F.col("_pool") >= spec.least_rows, 1).otherwise(2)
+    return stage(pooled.select("s._lang", "s._source", level.alias("_level")), "groups")
+
+
 def robust_outliers(
     docs: DataFrame,
     spec: McdSpec = McdSpec(),
@@ -194,38 +241,56 @@ def robust_outliers(
     lang_col: str = "lang",
     source_col: str = "source",
 ) -> DataFrame:
-    """Base counts of every row, ``distance`` (squared, null where there is no estimate) and ``kept``.
+    """Base counts of every row, ``distance`` (squared, null if no row passes the base rules) and ``kept``.
 
     ``kept`` is false if ``base_failed`` or the distance exceeds the cutoff. Null languages and sources are
     groups like others. Groups with few rows are pooled with the other small ones of their language; where that
-    is still too few, rows are judged by the base rules alone. Rows that fail the base rules take no part in
-    the estimates.
+    is still too few, rows are judged by an estimate over all rows of the table. Rows that fail the base rules
+    take no part in the estimates. Every row is judged by itself: repeated ones alike, null and empty texts fail.
     """
+    return _judged(docs, spec, id_col, text_col, lang_col, source_col, []).withColumnRenamed("_kept", "kept")
+
+
+def kept_rows(
+    docs: DataFrame, spec: McdSpec = McdSpec(), text_col: str = "text", lang_col: str = "lang", source_col: str = "source"
+) -> DataFrame:
+    """The rows of ``docs`` that ``robust_outliers`` keeps, with all their columns.
+
+    The table is written once beside its statistics, and the decision is made where the rows are: none is moved.
+    """
+    carried = docs.columns
+    judged = _judged(docs, spec, None, text_col, lang_col, source_col, carried)
+    return judged.filter("_kept").select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(carried)])
+
+
+def _judged(
+    docs: DataFrame, spec: McdSpec, id_col: str | None, text_col: str, lang_col: str, source_col: str, carried: list[str]
+) -> DataFrame:
+    held = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carried)]
+    ids = F.col(id_col) if id_col else F.lit(None).cast("long")
     named = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source")
+        ids.alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), *held
     )
-    counted = base_counts(named, "doc_id", "text", *GROUP)
+    kept = [f"_c{i}" for i in range(len(carried))]
+    counted = base_counts(named, "doc_id", "text", *GROUP, *kept)
     columns = [c for c in counted.columns if c not in GROUP]
-    rows = stage(counted.select("*", *[x.alias(f"x_{i}") for i, x in enumerate(vector(counted))]), "statistics")
-
-    def sizes(frame: DataFrame, *keys: str) -> DataFrame:
-        return frame.filter(~F.col("base_failed")).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-
-    small = sizes(rows, *GROUP).filter(F.col("_n") >= spec.least_rows).drop("_n")
-    match = F.col("r._lang").eqNullSafe(F.col("g._lang")) & F.col("r._source").eqNullSafe(F.col("g._source"))
-    rows = rows.alias("r").join(small.withColumn("_own", F.lit(True)).alias("g"), match, "left")
-    rows = rows.select("r.*", F.isnull("g._own").alias("_pooled"))
-    rows = rows.withColumn("_source", F.when(~F.col("_pooled"), F.col("_source")))
-    rows = stage(rows, "grouped")
-    usable = rows.filter(~F.col("base_failed")).select("_pooled", *GROUP, *[f"x_{i}" for i in range(len(VECTOR))])
-    enough = usable.groupBy("_pooled", *GROUP).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= spec.least_rows)
-    estimates = stage(_start(usable, spec), "estimate")
-    for _ in range(spec.steps):
-        near = _with_distances(usable, estimates, spec)
-        cut = near.groupBy("_pooled", *GROUP).agg(F.percentile_approx("_d", spec.share, spec.accuracy).alias("_cut"))
-        inside = near.alias("r").join(cut.alias("c"), _same_group("r", "c")).filter("r._d <= c._cut").select("r.*")
-        estimates = stage(_moments(inside), "estimate")
-    estimates = estimates.alias("e").join(enough.alias("n"), _same_group("e", "n")).select("e.*")
-    judged = _with_distances(rows, estimates, spec).withColumnRenamed("_d", "distance")
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= spec.cutoff, F.lit(True))
-    return judged.select(*columns, "distance", kept.alias("kept"))
+    x = [f"x_{i}" for i in range(len(VECTOR))]
+    rows = stage(counted.select("*", *[v.alias(name) for v, name in zip(vector(counted), x, strict=True)]), "statistics")
+
+    groups = _groups(rows, spec)
+
+    def levelled(frame: DataFrame) -> DataFrame:
+        level = F.col("g._level")
+        grouped = [level, F.when(level < 2, F.col("r._lang")).alias("_lang"), F.when(level < 1, F.col("r._source")).alias("_source")]
+        others = [F.col(f"r.{c}") for c in frame.columns if c not in GROUP]
+        return frame.alias("r").join(groups.alias("g"), _same_group("r", "g", GROUP)).select(*grouped, *others)
+
+    usable = rows.filter(~F.col("base_failed")).select(*GROUP, *x)
+    grouped = levelled(usable).filter("_level < 2")
+    if not groups.filter("_level = 2").isEmpty():
+        nothing = [F.lit(None).cast(usable.schema[c].dataType).alias(c) for c in GROUP]
+        grouped = grouped.unionByName(usable.select(F.lit(2).alias("_level"), *nothing, *x))
+    estimates = minimum_covariance(stage(grouped, "grouped"), spec)
+    judged = _with_distances(levelled(rows), estimates, spec).withColumnRenamed("_d", "distance")
+    verdict = ~F.col("base_failed") & F.coalesce(F.col("distance") <= spec.cutoff, F.lit(False))
+    return judged.select(*columns, "distance", verdict.alias("_kept"))

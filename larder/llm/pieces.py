@@ -140,13 +140,18 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
 def chunk_table(docs: DataFrame, model: str, head: int = HEAD) -> DataFrame:
     """``chunk, n, ids`` of the most frequent chunks of ``docs(doc_id, text)``, ``head`` rows at most; written once."""
     counted = stage(chunk_counts(docs).filter(F.octet_length("chunk") <= HEAD_BYTES), "chunks")
-    by_count = counted.groupBy(F.least("n", F.lit(COUNTS)).alias("n")).agg(F.count(F.lit(1)).alias("chunks"))
-    least, total = COUNTS + 1, 0
-    for n, chunks in sorted(by_count.collect(), reverse=True):  # COUNTS rows at most
-        total += chunks
-        if total > head:
+    # Exact up to COUNTS, beyond it in steps of a sixteenth of a doubling: some thousand rows at any size.
+    steps = F.floor(16 * F.log2(F.greatest("n", F.lit(COUNTS)) / float(COUNTS))).cast("long")
+    counted = counted.withColumn("step", F.least("n", F.lit(COUNTS)) + steps)
+    by_step = counted.groupBy("step").agg(F.count(F.lit(1)).alias("chunks"))
+    least, total, rest = None, 0, F.lit(False)
+    for step, chunks in sorted(by_step.collect(), reverse=True):
+        if total + chunks > head:
+            # Of the step that no longer fits a share by hash.
+            rest = (F.col("step") == step) & (F.pmod(F.xxhash64("chunk"), F.lit(chunks)) < head - total)
             break
-        least = n
+        least, total = step, total + chunks
+    frequent = counted.filter((F.col("step") >= least) | rest if least is not None else rest).drop("step").limit(head)
     schema = pa.schema([("chunk", pa.binary()), ("n", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +162,7 @@ def chunk_table(docs: DataFrame, model: str, head: int = HEAD) -> DataFrame:
             lists = pa.ListArray.from_arrays(offsets, pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], schema=schema)
 
-    return stage(counted.filter(F.col("n") >= least).mapInArrow(work, "chunk binary, n long, ids array<int>"), "pieces")
+    return stage(frequent.mapInArrow(work, "chunk binary, n long, ids array<int>"), "pieces")
 
 
 OUTPUTS = {

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from larder.llm import packing, pieces, tokencache
 from larder.llm.blocks import text_blocks
 from larder.llm.chunks import ByteBpe
-from larder.llm.tables import read, ready
+from larder.llm.tables import documents, read, ready
 from larder.session import fresh_folder
 
 from .conftest import EDGES, by_row
@@ -63,6 +63,16 @@ def test_pieces_equal_the_library(spark, edges, nothing):
     assert pieces.round_trip(nothing, PIECES).count() == 0
 
 
+def test_chunk_table_stays_within_its_bound_whatever_the_counts(spark):
+    ready(spark)
+    text = " ".join(f"w{k}" for k in range(5)) + " "
+    df = spark.createDataFrame([(1, text * (pieces.COUNTS + 10)), (2, "rare words")], "doc_id long, text string")
+    for head in (0, 1, 2, 4, 5, 6, 100):
+        table = pieces.chunk_table(documents(df), PIECES, head=head).collect()
+        assert len(table) <= head and len({r["chunk"] for r in table}) == len(table)
+        assert head < 5 or sum(r["n"] > pieces.COUNTS for r in table) >= 5
+
+
 def test_chunk_table_holds_each_chunk_once_with_its_count(spark):
     docs = spark.createDataFrame([(1, "to be or not to be"), (2, "to  be"), (3, None)], "doc_id long, text string").fillna("")
     found = {bytes(r["chunk"]): r["n"] for r in pieces.chunk_counts(docs).collect()}
