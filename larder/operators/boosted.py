@@ -9,13 +9,13 @@ from dataclasses import asdict, replace
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import BoostSpec
 from ..functions import scores
 from ..functions.numbers import at_least
-from ..session import shared_folder
+from ..session import fresh_folder, shared_folder
 from ..sources.staging import stage
 from .forecast import FORECAST, Forecaster
 
@@ -171,6 +171,90 @@ class BoostedForecaster(Forecaster):
         return out
 
 
+def node_table(forecaster: BoostedForecaster) -> DataFrame:
+    """The nodes of the fitted trees: ``tree, node, weight, value, feature, threshold, low, high``.
+
+    ``value`` is the mean label of the training rows in the node. ``feature`` is -1 in a leaf; elsewhere rows with a
+    value of at most ``threshold`` go on to the node ``low``, others and missing ones to ``high``.
+    """
+    if forecaster.model is None:
+        raise NotFitted("fit the forecaster first")
+    spark = SparkSession.getActiveSession()
+    folder = fresh_folder(spark, "trees")
+    forecaster.model.write().save(folder)
+    weights = spark.createDataFrame(list(enumerate(map(float, forecaster.model.treeWeights))), "tree int, weight double")
+    nodes = spark.read.parquet(f"{folder}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    return nodes.join(F.broadcast(weights), "tree").select(
+        "tree",
+        F.col("id").alias("node"),
+        "weight",
+        F.col("prediction").alias("value"),
+        F.when(F.col("leftChild") >= 0, F.col("split.featureIndex")).otherwise(-1).alias("feature"),
+        F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
+        F.col("leftChild").alias("low"),
+        F.col("rightChild").alias("high"),
+    )
+
+
+class TreeAttribution:
+    """What each feature adds to the raw forecast of each row, along the paths that the row takes.
+
+    In every tree a step from a node to its child changes the expected value; the change is put down to the feature
+    that the node splits by. Those of a row add up to its raw forecast less ``base``, the weighted sum of the values of
+    the roots. All rows are attributed, by SQL expressions over the nodes as arrays, which have a few numbers for
+    each node: they grow with the model, not with the rows.
+    """
+
+    def __init__(self, forecaster: BoostedForecaster) -> None:
+        self.forecaster = forecaster
+        rows = node_table(forecaster).collect()  # the model: trees times two to the power of their depth at most
+        rows.sort(key=lambda r: (r["tree"], r["node"]))
+        place = {(r["tree"], r["node"]): i for i, r in enumerate(rows)}
+        self.roots = [i for i, r in enumerate(rows) if r["node"] == 0]
+        self.base = float(sum(rows[i]["weight"] * rows[i]["value"] for i in self.roots))
+        self.feature = [r["feature"] for r in rows]
+        self.threshold = [r["threshold"] if r["threshold"] is not None else 0.0 for r in rows]
+        self.value = [r["weight"] * r["value"] for r in rows]
+        self.low, self.high = ([place.get((r["tree"], r[c]), -1) for r in rows] for c in ("low", "high"))
+        self.depth = max((t.depth for t in forecaster.model.trees), default=0)
+
+    def parts(self) -> Column:
+        """An array with the contribution of each feature, in the order of the forecaster's features."""
+        feature, threshold, value, low, high = (F.lit(x) for x in (self.feature, self.threshold, self.value, self.low, self.high))
+        missing = F.lit(float("nan"))  # greater than every threshold
+        x = F.array(*[F.coalesce(F.col(f).cast("double"), missing) for f in self.forecaster.features])
+
+        def step(state: Column, _: Column) -> Column:
+            node = state["node"]
+            at = F.get(feature, node)
+            child = F.when(F.get(x, at) <= F.get(threshold, node), F.get(low, node)).otherwise(F.get(high, node))
+            change = F.struct(at.alias("feature"), (F.get(value, child) - F.get(value, node)).alias("change"))
+            further = F.struct(child.alias("node"), F.concat(state["path"], F.array(change)).alias("path"))
+            return F.when(at < 0, state).otherwise(further)
+
+        empty = F.array().cast("array<struct<feature:int,change:double>>")
+        levels = F.sequence(F.lit(1), F.lit(max(1, self.depth)))
+        paths = F.transform(
+            F.lit(self.roots),
+            lambda root: F.aggregate(levels, F.struct(root.alias("node"), empty.alias("path")), step, lambda s: s["path"]),
+        )
+
+        def total(steps: Column) -> Column:
+            numbers = F.sequence(F.lit(0), F.lit(len(self.forecaster.features) - 1))
+            return F.transform(
+                numbers,
+                lambda f: F.aggregate(steps, F.lit(0.0), lambda s, p: s + F.when(p["feature"] == f, p["change"]).otherwise(0.0)),
+            )
+
+        return F.element_at(F.transform(F.array(F.flatten(paths)), total), 1)
+
+    def attribution(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """``keys, feature, contribution`` for all rows and features."""
+        names = F.array(*[F.lit(f) for f in self.forecaster.features])
+        each = df.select(*keys, F.posexplode(self.parts()).alias("_at", "contribution"))
+        return each.select(*keys, F.get(names, F.col("_at")).alias("feature"), "contribution")
+
+
 def challenger_spec(champion: BoostSpec, iteration: int) -> BoostSpec:
     """More trees, smaller steps, another seed."""
     return replace(

@@ -106,6 +106,9 @@ def psi(counts: DataFrame, bins: int = BINS, light_rows: int = LIGHT_ROWS, piece
     return every.join(found, "feature", "left").select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi"))
 
 
+EXACT_CELLS = 10_000  # of the lattice that an exact p-value goes through; beyond it the series is close
+
+
 def ks_p_value(distance: Column, n: Column, m: Column, terms: int = 100) -> Column:
     """Asymptotic two-sided p-value of the two-sample statistic."""
     n, m = n.cast("double"), m.cast("double")
@@ -120,6 +123,37 @@ def ks_p_value(distance: Column, n: Column, m: Column, terms: int = 100) -> Colu
     return F.when(reach < 0.2, 1.0).otherwise(F.least(F.greatest(series * 2, F.lit(0.0)), F.lit(1.0)))
 
 
+def exact_ks_p_value(distance: Column, n: Column, m: Column) -> Column:
+    """Exact two-sided p-value of the two-sample statistic, for samples without ties.
+
+    Ordering both samples is a walk from (0, 0) to (n, m); the p-value is the share of all walks that somewhere get
+    as far from the diagonal as the distance. The share of the walks to (i, j) that do is 1 if (i, j) is as far,
+    else the mean of those of its two predecessors, weighted by i and j: one row of the lattice follows from the last.
+    """
+    n, m = n.cast("long"), m.cast("long")
+    reach = F.round(distance * n * m).cast("long")
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def share(far: Column, otherwise: Column) -> Column:
+        return F.when(far, 1.0).otherwise(otherwise)
+
+    def next_row(row: Column, i: Column) -> Column:
+        def add(done: Column, j: Column) -> Column:
+            mean = (i * F.get(row, j.cast("int")) + j * F.element_at(done, -1)) / (i + j)
+            return F.concat(done, F.array(share(F.abs(i * m - j * n) >= reach, mean)))
+
+        return F.aggregate(F.sequence(one, m), F.array(share(i * m >= reach, F.lit(0.0))), add)
+
+    start = F.transform(F.sequence(zero, m), lambda j: share(j * n >= reach, F.lit(0.0)))
+    return F.element_at(F.aggregate(F.sequence(one, n), start, next_row), -1)
+
+
+def two_sample_p_value(distance: Column, n: Column, m: Column, exact_cells: int | None = None) -> Column:
+    """The exact p-value where the lattice has at most ``exact_cells`` cells (n times m), the asymptotic one beyond."""
+    small = n.cast("double") * m.cast("double") <= (EXACT_CELLS if exact_cells is None else exact_cells)
+    return F.when(small, exact_ks_p_value(distance, n, m)).otherwise(ks_p_value(distance, n, m))
+
+
 def ks_test(counts: DataFrame, pieces: int | None = None) -> DataFrame:
     """(feature, ks_statistic, ks_p_value): two-sample Kolmogorov-Smirnov test."""
     totals = side_totals(counts)
@@ -144,7 +178,7 @@ def ks_test(counts: DataFrame, pieces: int | None = None) -> DataFrame:
         .alias("ks_statistic"),
         F.when(~enough, 1.0)
         .when(constant, F.when(same, 1.0).otherwise(0.0))
-        .otherwise(ks_p_value(F.col("distance"), F.col("baseline_n"), F.col("current_n")))
+        .otherwise(two_sample_p_value(F.col("distance"), F.col("baseline_n"), F.col("current_n")))
         .alias("ks_p_value"),
     )
 
@@ -176,14 +210,14 @@ def feature_drift(
 
 def target_drift(sided: DataFrame, target: str = "num_orders") -> DataFrame:
     """One row ``target_p_value``; null when a side has too few rows."""
-    counts = side_counts(sided, [target])
+    counts = stage(side_counts(sided, [target]), "side-counts")
     totals = side_totals(counts)
     found = ks_test(counts).join(totals, "feature")
     enough = (F.col("baseline_n") > KS_MIN_ROWS) & (F.col("current_n") > KS_MIN_ROWS)
     # Two equal constants have distance 0, two different ones distance 1; unlike a feature, the target
     # gets the p-value of that distance.
     distance = F.col("ks_statistic")
-    p = F.when(enough, ks_p_value(distance, F.col("baseline_n"), F.col("current_n")))
+    p = F.when(enough, two_sample_p_value(distance, F.col("baseline_n"), F.col("current_n")))
     return found.agg(F.max(p).alias("target_p_value"))
 
 

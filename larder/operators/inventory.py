@@ -150,7 +150,7 @@ def policy_replay(
             F.sum(prepared).alias(f"prepared{i}"),
             F.sum(F.when(both, F.least(a, prepared))).alias(f"fulfilled{i}"),
             F.sum(at_least(a - prepared, 0.0)).alias(f"stockout{i}"),
-            F.sum(at_least(prepared - a, 0.0) * F.lit(costs.spoilage_rate)).alias(f"wasted{i}"),
+            F.sum(at_least(prepared - a, 0.0)).alias(f"unneeded{i}"),
             F.count_if(a > prepared).alias(f"events{i}"),
         ]
     rows = [
@@ -161,11 +161,14 @@ def policy_replay(
             F.col("n"),
             F.col("unscored_rows"),
             F.col("demand"),
-            *[F.col(f"{c}{i}").alias(c) for c in ("prepared", "fulfilled", "stockout", "wasted", "events")],
+            *[F.col(f"{c}{i}").alias(c) for c in ("prepared", "fulfilled", "stockout", "unneeded", "events")],
         )
         for i, level in enumerate(levels)
     ]
     each = df.agg(*sums).filter("n > 0").select(F.inline(F.array(*rows)))
+    # The share comes after the sum and in decimals: sums of whole and half units are exact in any order of the rows.
+    share = F.lit(str(costs.spoilage_rate)).cast("decimal(10,6)")
+    each = each.withColumn("wasted", (F.col("unneeded").try_cast("decimal(26,6)") * share).cast("double"))
     each = each.withColumn("holding", F.col("wasted") * F.lit(costs.holding_per_unit_week)).withColumn(
         "loss", F.col("stockout") * F.lit(costs.unit_price + costs.stockout_penalty)
     )

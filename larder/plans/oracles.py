@@ -395,6 +395,18 @@ GAPS = """{0} AS (
                     CASE WHEN week % 13 <> 0 THEN checkout_price END AS checkout_price,
                     CASE WHEN week % 17 <> 0 THEN forecast_orders END AS forecast_orders) FROM {1})"""
 
+# Ridge of log1p(num_orders) on two features: 2 x 2 normal equations of the centred columns, solved by determinants.
+LINEAR = f"""means AS (SELECT avg(checkout_price) AS mx, avg(any_promo) AS mz, avg(ln(1 + num_orders)) AS my FROM priced WHERE week <= {TRAIN_END}),
+grams AS (
+  SELECT any_value(mx) AS mx, any_value(mz) AS mz, any_value(my) AS my, 1.001 * sum((checkout_price - mx) ** 2) AS xx,
+         1.001 * sum((any_promo - mz) ** 2) AS zz, sum((checkout_price - mx) * (any_promo - mz)) AS xz,
+         sum((checkout_price - mx) * (ln(1 + num_orders) - my)) AS xy, sum((any_promo - mz) * (ln(1 + num_orders) - my)) AS zy
+  FROM priced, means WHERE week <= {TRAIN_END}),
+slopes AS (SELECT mx, mz, my, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS bx, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS bz FROM grams),
+parts AS (
+  SELECT week, center_id, meal_id, 'checkout_price' AS feature, (checkout_price - mx) * bx AS contribution FROM priced, slopes
+  UNION ALL SELECT week, center_id, meal_id, 'any_promo', (any_promo - mz) * bz FROM priced, slopes)"""
+
 # --- policies --------------------------------------------------------------------------------------
 
 POLICIES = """policies(service_level, z, pos) AS (VALUES (0.8::DOUBLE, 0.8416::DOUBLE, 0), (0.85, 1.0364, 1),
@@ -404,16 +416,18 @@ replay AS (
          forecast_orders + greatest(5.0, ceil(z * 25.0)) AS prepared,
          least(num_orders, forecast_orders + greatest(5.0, ceil(z * 25.0))) AS fulfilled,
          greatest(0.0, num_orders - forecast_orders - greatest(5.0, ceil(z * 25.0))) AS stockout,
-         greatest(0.0, forecast_orders + greatest(5.0, ceil(z * 25.0)) - num_orders) * 0.3 AS wasted
+         greatest(0.0, forecast_orders + greatest(5.0, ceil(z * 25.0)) - num_orders) * 0.3 AS wasted,
+         greatest(0.0, forecast_orders + greatest(5.0, ceil(z * 25.0)) - num_orders) AS unneeded
   FROM test t, policies WHERE num_orders IS NOT NULL AND forecast_orders IS NOT NULL)"""
+WASTED = "CAST(sum(unneeded) AS DECIMAL(26, 6)) * 0.3"
 REPLAY = f"""SELECT service_level, {r("any_value(z)", 3)} AS z_score,
   (SELECT count(*) FROM test WHERE num_orders IS NULL OR forecast_orders IS NULL) AS unscored_rows, {r("sum(a)", 1)} AS total_demand_units,
   {r("sum(prepared)", 1)} AS total_prepared_units, {r("sum(fulfilled)", 1)} AS total_fulfilled_units,
-  {r("sum(stockout)", 1)} AS total_stockout_units, {r("sum(wasted)", 1)} AS total_wasted_units,
+  {r("sum(stockout)", 1)} AS total_stockout_units, {r(WASTED, 1)} AS total_wasted_units,
   {r("count(*) FILTER (WHERE a > prepared) / count(*) * 100", 2)} AS stockout_event_rate,
   {r("CASE WHEN sum(a) > 0 THEN sum(fulfilled) / greatest(1, sum(a)) * 100 ELSE 100 END", 2)} AS fill_rate_percentage,
-  {r("sum(wasted) * 5", 2)} AS estimated_holding_cost, {r("sum(stockout) * 160", 2)} AS estimated_stockout_loss,
-  {r("sum(wasted) * 5 + sum(stockout) * 160", 2)} AS total_operational_cost
+  {r(WASTED + " * 5", 2)} AS estimated_holding_cost, {r("sum(stockout) * 160", 2)} AS estimated_stockout_loss,
+  {r(WASTED + " * 5 + sum(stockout) * 160", 2)} AS total_operational_cost
 FROM replay GROUP BY service_level"""
 
 # --- stream ----------------------------------------------------------------------------------------
@@ -953,6 +967,25 @@ FROM drift, (SELECT count(*) FILTER (WHERE is_drifted) AS drifted_features, coun
 FROM (SELECT count(*) FILTER (WHERE is_drifted) AS drifted_features, count(*) AS features FROM drift), ratio,
   (SELECT ks_p_value AS target_p_value FROM ks_p WHERE feature = 'num_orders')""",
     ),
+    "linear_forecaster": q(
+        PANEL,
+        PRICED,
+        LINEAR,
+        f"""fitted AS (SELECT num_orders, exp(my + (checkout_price - mx) * bx + (any_promo - mz) * bz) - 1 AS forecast_orders
+  FROM priced, slopes WHERE week > {VAL_END})""",
+        select=f"SELECT {', '.join(r(c, 4) + ' AS ' + c for c in ('mae', 'rmse', 'wmape', 'rmsle'))} FROM (SELECT {measures()} FROM fitted)",
+    ),
+    "linear_attribution": q(
+        PANEL, PRICED, LINEAR, select=f"SELECT week, center_id, meal_id, feature, {rounded('contribution')} FROM parts WHERE week > {VAL_END}"
+    ),
+    "linear_importance": q(
+        PANEL,
+        PRICED,
+        LINEAR,
+        "sizes AS (SELECT feature, avg(abs(contribution)) AS mean_size, avg(contribution) AS mean_contribution FROM parts GROUP BY feature)",
+        select=f"SELECT feature, {rounded('mean_size, mean_contribution')} FROM sizes",
+    ),
+    "tree_attribution": q(_panel("nation"), select=f"SELECT count(*) AS n, count(*) AS added_up FROM panel WHERE week > {VAL_END}"),
     # forecasting, backtest, loop
     "feature_frame": FEATURE_FRAME,
     "forecaster_interface": q(

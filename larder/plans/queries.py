@@ -19,9 +19,10 @@ from ..config import BoostSpec, FeatureSpec, Settings, WeekSplit
 from ..functions import pricing, scores, stock
 from ..functions.numbers import half_up
 from ..operators import drift, explore, features, forecast, inventory, profiles, quality, scenarios, series, slices, split
-from ..operators.boosted import BoostedForecaster, challenger_spec, driver_attribution as shuffle_features
+from ..operators.boosted import BoostedForecaster, TreeAttribution, challenger_spec, driver_attribution as shuffle_features
 from ..operators.elastic import ProfileForecaster
 from ..operators.forecast import FORECAST, MedianForecaster
+from ..operators.linear import LinearForecaster, mean_attribution
 from ..operators.heavy import group_median, value_counts, exact_quantiles
 from ..session import fresh_folder, tune
 from ..sources import artifacts, star, tables as table_reader
@@ -1075,6 +1076,42 @@ def driver_attribution(spark, d):
     return tidy(shuffle_features(model, frame, ["center_id", "meal_id", "checkout_price", "any_promo"]))
 
 
+def _linear(spark, d) -> tuple[LinearForecaster, DataFrame]:
+    """Price and promotion as features, fitted on the training weeks; and all weeks."""
+    frame = stage(priced(panel(spark, d)), "priced")
+    return LinearForecaster(["checkout_price", "any_promo"]).fit(frame.filter(F.col("week") <= SPLIT.train_end)), frame
+
+
+@query
+def linear_forecaster(spark, d):
+    model, frame = _linear(spark, d)
+    return tidy(model.evaluate(test_weeks(frame)), 4)
+
+
+@query
+def linear_attribution(spark, d):
+    """What price and promotion add to the linear forecast of every row of the test weeks."""
+    model, frame = _linear(spark, d)
+    return tidy(model.attribution(test_weeks(frame), ID))
+
+
+@query
+def linear_importance(spark, d):
+    model, frame = _linear(spark, d)
+    return tidy(mean_attribution(model.attribution(frame, ID)))
+
+
+@query
+def tree_attribution(spark, d):
+    """Contributions of all features to every test row along the paths of the trees, against the forecast they add up to."""
+    model, frame = fitted_boost(spark, d)
+    paths = TreeAttribution(model)
+    test = model.transform(test_weeks(frame)).withColumn("parts", paths.parts())
+    total = F.aggregate("parts", F.lit(paths.base), lambda a, b: a + b)
+    near = F.abs(F.greatest(F.expm1(total), F.lit(0.0)) - F.col(FORECAST)) <= 1e-6 * (1 + F.col(FORECAST))
+    return test.agg(F.count(F.lit(1)).alias("n"), F.count_if(near).cast("bigint").alias("added_up"))
+
+
 @query
 def backtest(spark, d):
     return bt.backtest(enriched(spark, d, staged=True), walk=WALK).slices
