@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores
@@ -112,17 +112,15 @@ class FeedbackLog:
         log = self.everything()
         if self.max_history is None:
             return log
-        # One row per batch, from the folder names and row counts.
-        sizes = sorted(log.groupBy("batch_id").count().collect(), reverse=True)
-        room = self.max_history
-        whole = []
-        for batch_id, n in sizes:
-            if n > room:
-                kept = log.filter(F.col("batch_id").isin(whole))
-                return kept.unionByName(last_history(log.filter(F.col("batch_id") == batch_id), room)) if room else kept
-            whole.append(batch_id)
-            room -= n
-        return log
+        # One row per batch; the batch in which the newest rows run out is all that comes back.
+        upto = F.sum("n").over(Window.orderBy(F.col("batch_id").desc()))
+        sizes = log.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+        crossing = sizes.filter(F.col("upto") > self.max_history).orderBy(F.col("batch_id").desc()).first()
+        if crossing is None:
+            return log
+        room = self.max_history - (crossing["upto"] - crossing["n"])
+        kept = log.filter(F.col("batch_id") > crossing["batch_id"])
+        return kept.unionByName(last_history(log.filter(F.col("batch_id") == crossing["batch_id"]), room)) if room else kept
 
     def summary(self) -> DataFrame:
         return feedback_summary(self.read())

@@ -967,6 +967,7 @@ FROM drift, (SELECT count(*) FILTER (WHERE is_drifted) AS drifted_features, coun
 FROM (SELECT count(*) FILTER (WHERE is_drifted) AS drifted_features, count(*) AS features FROM drift), ratio,
   (SELECT ks_p_value AS target_p_value FROM ks_p WHERE feature = 'num_orders')""",
     ),
+    "sketched_medians": q(PANEL, select="SELECT center_id, count(num_orders) AS n, true AS near FROM panel GROUP BY center_id"),
     "linear_forecaster": q(
         PANEL,
         PRICED,

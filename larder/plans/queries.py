@@ -25,6 +25,7 @@ from ..operators.forecast import FORECAST, MedianForecaster
 from ..operators.linear import LinearForecaster, mean_attribution
 from ..operators.heavy import group_median, value_counts, exact_quantiles
 from ..session import fresh_folder, tune
+from ..operators.sketches import RANK_ERROR, SketchTable
 from ..sources import artifacts, star, tables as table_reader
 from ..sources.contracts import CONTRACTS
 from ..sources.staging import stage
@@ -526,6 +527,21 @@ def _test_scored(spark, d) -> DataFrame:
     return test_weeks(split_scored(staged_panel(spark, d)))
 
 
+@query
+def sketched_medians(spark, d):
+    """Medians per center merged from sketches by blocks of weeks, the later weeks added apart; and their exact ranks."""
+    frame = staged_panel(spark, d)
+    table = SketchTable(spark, fresh_folder(spark, "sketches"), ["center_id"], "num_orders")
+    last = frame.agg(F.max("week")).first()[0] // table.block_weeks * table.block_weeks
+    table.add(frame.filter(F.col("week") <= last))
+    table.add(frame.filter(F.col("week") > last))
+    found = stage(table.quantiles([0.5]).select("center_id", "n", F.col("quantiles")[0].alias("median")), "medians")
+    below = F.avg((F.col("num_orders") < F.col("median")).cast("double"))
+    upto = F.avg((F.col("num_orders") <= F.col("median")).cast("double"))
+    near = (below <= 0.5 + 2 * RANK_ERROR) & (upto >= 0.5 - 2 * RANK_ERROR)
+    return frame.join(found, "center_id").groupBy("center_id").agg(F.max("n").alias("n"), near.alias("near"))
+
+
 @query
 def metric_wmape(spark, d):
     return tidy(_test_scored(spark, d).groupBy("meal_id").agg(scores.wmape("num_orders", FORECAST).alias("wmape")))
