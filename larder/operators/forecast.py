@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,12 +118,9 @@ class MedianForecaster(Forecaster):
 
 def compare(frames: dict[str, DataFrame], baseline: str, actual: str = "num_orders") -> DataFrame:
     """Measures per model side by side, with the WMAPE gain over the baseline in percent."""
-    from functools import reduce
-
-    rows = reduce(
-        DataFrame.unionByName,
-        [score(df, actual).withColumn("model", F.lit(name)) for name, df in frames.items()],
-    )
+    scored = [score(df, actual).withColumn("model", F.lit(name)) for name, df in frames.items()]
+    # One row per model, written because the baseline's row is read again for the gain.
+    rows = stage(reduce(DataFrame.unionByName, scored), "model-scores")
     reference = rows.filter(F.col("model") == baseline).select("wmape").scalar()
     gain = F.when(reference > 0, (reference - F.col("wmape")) / reference * 100).otherwise(0.0)
     return rows.select("model", "mae", "rmse", "wmape", "rmsle", F.round(gain, 2).alias("gain_pct"))

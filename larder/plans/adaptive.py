@@ -13,11 +13,12 @@ from ..functions import scores
 from ..functions.numbers import col, half_up
 from ..operators.explore import last_history
 from ..operators.forecast import FORECAST, Forecaster, score
-from ..operators.profiles import adaptive_forecast, sku_profiles
+from ..operators.profiles import KEYS, adaptive_forecast, sku_profiles
 from ..sources.contracts import FEEDBACK_SCHEMA
 from ..sources.staging import stage
 
 WMAPE_LIMIT = 0.25
+HELD_OUT = "_held_out_part"
 NO_ROWS, ABOVE_LIMIT, FORCED = "no_rows", "wmape_above_limit", "forced"
 
 
@@ -153,6 +154,31 @@ def correct_batch(
     return adaptive_forecast(scored, profiles, rate), profiles
 
 
+def held_out_correction(
+    batch: DataFrame,
+    champion: Forecaster,
+    parts: int = 3,
+    part_weeks: int = 4,
+    actual: str = "num_orders",
+    rate: float = 0.65,
+    week: str = "week",
+) -> DataFrame:
+    """The batch with champion and adaptive forecasts, no week corrected by a profile that has seen it.
+
+    Blocks of ``part_weeks`` weeks are dealt in turn to the parts. A row is corrected by its pair's profile over
+    the other parts; a pair without rows there, or a row without a week, keeps the champion's forecast. One
+    aggregation makes the profiles of all parts, for which each row is copied ``parts - 1`` times.
+    """
+    if parts < 2 or part_weeks < 1:
+        raise ValueError(f"at least 2 parts of at least 1 week are needed, got {parts} of {part_weeks}")
+    scored = stage(champion.transform(batch), "scored")
+    keys = [HELD_OUT, *KEYS]
+    rows = scored.withColumn(HELD_OUT, F.pmod(F.floor((F.col(week) - 1) / part_weeks), F.lit(parts)).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.lit(parts - 1)), lambda p: p != F.col(HELD_OUT))
+    profiles = stage(sku_profiles(rows.withColumn(HELD_OUT, F.explode(others)), actual=actual, keys=keys), "profiles")
+    return adaptive_forecast(rows, profiles, rate, keys=keys).drop(HELD_OUT)
+
+
 def batch_scores(corrected: DataFrame, actual: str = "num_orders") -> DataFrame:
     """One row: champion and adaptive WMAPE and the improvement in percent, from one pass."""
     both = F.array(

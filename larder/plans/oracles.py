@@ -518,24 +518,37 @@ ELASTIC_SPLIT = (
 )
 
 FEATURE_CODES = "\n".join(f"LEFT JOIN {code(c)} USING ({c})" for c in CODE_COLUMNS)
-FEATURE_FRAME = q(
-    PANEL,
-    DIMS,
-    PRICED.replace("FROM panel)", "FROM wide)", 1).replace("p1 AS", WIDE + ",\np1 AS", 1),
-    select=f"""SELECT id, week, center_id, meal_id, emailer_for_promotion, homepage_featured,
+HISTORY_LAGS = ", ".join(f"num_orders_lag_{n}" for n in (1, 2, 3, 4, 5, 10))
+HISTORY_LAGS_OF = ", ".join(lag(n) for n in (1, 2, 3, 4, 5, 10))
+HISTORY_NAMES = ", ".join(f"num_orders_roll_{s}_{k}" for k in (3, 5, 10) for s in ("mean", "std"))
+HISTORY_ROLLS = ", ".join(f"{mean(k)} AS num_orders_roll_mean_{k}, {std(k)} AS num_orders_roll_std_{k}" for k in (3, 5, 10))
+
+
+def _frame(impute: bool = True) -> str:
+    def filled(expression: str) -> str:
+        return f"coalesce({expression}, 0)" if impute else expression
+
+    return q(
+        PANEL,
+        DIMS,
+        PRICED.replace("FROM panel)", "FROM wide)", 1).replace("p1 AS", WIDE + ",\np1 AS", 1),
+        select=f"""SELECT id, week, center_id, meal_id, emailer_for_promotion, homepage_featured,
   {rounded("checkout_price, base_price, op_area, discount_amount, discount_ratio, price_ratio, promo_discount_synergy", 4)},
   {r("checkout_price / greatest(avg(checkout_price) OVER (PARTITION BY meal_id), 0.0001)", 4)} AS meal_rel_price,
   both_promos, any_promo, {CALENDAR},
   {r("sin(2 * pi() * (((week - 1) % 52) + 1) / 52.0)", 4)} AS sin_week_of_year,
   {r("cos(2 * pi() * (((week - 1) % 52) + 1) / 52.0)", 4)} AS cos_week_of_year,
-  {", ".join(f"coalesce(lag(num_orders, {n}) OVER w, 0) AS num_orders_lag_{n}" for n in (1, 2, 3, 4, 5, 10))},
-  {", ".join(f"{r(f'coalesce({mean(k)}, 0)', 4)} AS num_orders_roll_mean_{k}" for k in (3, 5, 10))},
+  {", ".join(filled(f"lag(num_orders, {n}) OVER w") + f" AS num_orders_lag_{n}" for n in (1, 2, 3, 4, 5, 10))},
+  {", ".join(f"{r(filled(mean(k)), 4)} AS num_orders_roll_mean_{k}" for k in (3, 5, 10))},
   {", ".join(f"{r(std(k), 4)} AS num_orders_roll_std_{k}" for k in (3, 5, 10))},
   {", ".join(f"CAST(coalesce({c}_code, -1) AS INT) AS {c}" for c in CODE_COLUMNS)}
 FROM priced
 {FEATURE_CODES}
 {SERIES}""",
-)
+    )
+
+
+FEATURE_FRAME = _frame()
 
 ORACLES: dict[str, str] = {
     # sources and sinks
@@ -543,16 +556,16 @@ ORACLES: dict[str, str] = {
     "read_features": q(
         PANEL,
         PRICED,
-        select=f"""SELECT week, center_id, meal_id, {r("price_ratio")} AS price_ratio, num_orders_lag_1, num_orders_lag_10,
-  {r("m3")} AS num_orders_roll_mean_3
-FROM (SELECT *, {lag(1)}, {lag(10)}, {mean(3)} AS m3 FROM priced {SERIES})""",
+        select=f"""SELECT week, center_id, meal_id, {r("price_ratio")} AS price_ratio, {HISTORY_LAGS}, {rounded(HISTORY_NAMES)}
+FROM (SELECT *, {HISTORY_LAGS_OF}, {HISTORY_ROLLS} FROM priced {SERIES})""",
     ),
     "write_metrics": q(PANEL, SCORED, PLAN, select=f"SELECT * FROM (SELECT {measures()} FROM test), ({KPIS})"),
     "write_codes": q(PANEL, DIMS, WIDE, select=CODES),
     "write_features": q(
         PANEL,
         select=f"""SELECT CAST((week - 1) // 52 AS INT) AS week_bucket, count(*) AS n, sum(num_orders) AS units,
-  count(num_orders_lag_10) AS lagged FROM (SELECT *, {lag(10)} FROM panel {SERIES}) GROUP BY 1""",
+  {", ".join(f"count({c}) AS {c}" for c in f"{HISTORY_LAGS}, {HISTORY_NAMES}".split(", "))}
+FROM (SELECT *, {HISTORY_LAGS_OF}, {HISTORY_ROLLS} FROM panel {SERIES}) GROUP BY 1""",
     ),
     "read_plan": q(PANEL, SCORED, PLAN, select=f"SELECT {PLAN_COLUMNS} FROM plan"),
     "write_plan": q(
@@ -592,13 +605,7 @@ FROM (SELECT *, {lag(1)}, {lag(10)}, {mean(3)} AS m3 FROM priced {SERIES})""",
         select=f"""SELECT CASE WHEN week <= {TRAIN_END} THEN 'train' WHEN week <= {VAL_END} THEN 'validation' ELSE 'test' END AS split,
   {SPLIT_SUMMARY} FROM panel GROUP BY 1""",
     ),
-    "select_features": q(
-        PANEL,
-        PRICED,
-        select=f"""SELECT week, center_id, meal_id, emailer_for_promotion, homepage_featured, both_promos, any_promo, {CALENDAR},
-  {SEASON}, {rounded("checkout_price, base_price, discount_amount, discount_ratio, price_ratio, promo_discount_synergy")}
-FROM priced""",
-    ),
+    "select_features": _frame(impute=False).replace("SELECT id, week,", "SELECT week,"),
     "dashboard_filter": q(
         PANEL,
         select=f"""SELECT id, week, center_id, meal_id, {rounded("checkout_price, base_price, num_orders")},
@@ -612,8 +619,11 @@ FROM priced""",
     "half_split": q(PANEL, PRICED, SIDES, select=f"SELECT side, {SPLIT_SUMMARY} FROM sides GROUP BY side"),
     "impute_zero": q(
         PANEL,
-        select=f"""SELECT id, coalesce(num_orders_lag_1, 0) AS num_orders_lag_1, coalesce(num_orders_lag_10, 0) AS num_orders_lag_10
-FROM (SELECT id, {lag(1)}, {lag(10)} FROM panel {SERIES})""",
+        select="SELECT id, "
+        + ", ".join(f"coalesce({c}, 0) AS {c}" for c in HISTORY_LAGS.split(", "))
+        + ", "
+        + ", ".join(f"{r(f'coalesce({c}, 0)')} AS {c}" for c in HISTORY_NAMES.split(", "))
+        + f" FROM (SELECT id, {HISTORY_LAGS_OF}, {HISTORY_ROLLS} FROM panel {SERIES})",
     ),
     "distinct_values": q(
         PANEL,
@@ -668,9 +678,9 @@ UNION ALL SELECT 'test', fold_index, count(*), sum(num_orders) FROM panel JOIN f
         WIDE,
         "early AS (SELECT * FROM wide WHERE week <= 2)",
         select="SELECT id, "
-        + ", ".join(f"CAST(coalesce({c}_code, -1) AS INT) AS {c}" for c in ("city_code", "category", "center_type"))
+        + ", ".join(f"CAST(coalesce({c}_code, -1) AS INT) AS {c}" for c in CODE_COLUMNS)
         + " FROM wide "
-        + " ".join(f"LEFT JOIN {code(c, 'early')} USING ({c})" for c in ("city_code", "category", "center_type")),
+        + " ".join(f"LEFT JOIN {code(c, 'early')} USING ({c})" for c in CODE_COLUMNS),
     ),
     "fk_anti_join": q(
         PANEL, DIMS, DIRTY, select="SELECT DISTINCT center_id AS key FROM dirty ANTI JOIN centers USING (center_id)"
@@ -1005,6 +1015,19 @@ FROM (SELECT count(*) FILTER (WHERE is_drifted) AS drifted_features, count(*) AS
         select=f"""SELECT champion_wmape, adaptive_wmape,
   {r("CASE WHEN champion_wmape > 0 THEN (champion_wmape - adaptive_wmape) / champion_wmape * 100 ELSE 0 END", 2)} AS improvement_pct,
   champion_wmape > 0.25 AS retrain, CASE WHEN champion_wmape > 0.25 THEN 1 ELSE 0 END AS reasons
+FROM (SELECT wmape AS champion_wmape FROM (SELECT {measures(names="wmape")} FROM test)),
+  (SELECT wmape AS adaptive_wmape FROM (SELECT {measures(p="adaptive_orders", names="wmape")} FROM adapted))""",
+    ),
+    "adaptive_held_out": q(
+        PANEL,
+        PRICED,
+        ALL_SCORED,
+        "parted AS (SELECT *, CAST(((week - 1) // 4) % 3 AS INT) AS part FROM test)",
+        "others AS (SELECT p.* REPLACE (o AS part) FROM parted p JOIN (VALUES (0), (1), (2)) t(o) ON o <> part)",
+        profiles("others", "part, center_id, meal_id"),
+        adaptive("parted", "part, center_id, meal_id"),
+        select=f"""SELECT champion_wmape, adaptive_wmape,
+  {r("CASE WHEN champion_wmape > 0 THEN (champion_wmape - adaptive_wmape) / champion_wmape * 100 ELSE 0 END", 2)} AS improvement_pct
 FROM (SELECT wmape AS champion_wmape FROM (SELECT {measures(names="wmape")} FROM test)),
   (SELECT wmape AS adaptive_wmape FROM (SELECT {measures(p="adaptive_orders", names="wmape")} FROM adapted))""",
     ),

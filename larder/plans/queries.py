@@ -39,6 +39,9 @@ SPLIT = WeekSplit(train_end=300, val_end=330, total=358)
 SETTINGS = Settings(split=SPLIT)
 KEYS = ["center_id", "meal_id"]
 ID = ["week", "center_id", "meal_id"]
+HISTORY = [f"num_orders_lag_{n}" for n in FeatureSpec().lags] + [
+    f"num_orders_roll_{s}_{k}" for k in FeatureSpec().windows for s in ("mean", "std")
+]
 WALK = bt.Walk(folds=3, test_weeks=10, min_train_weeks=50)
 SMALL_BOOST = BoostSpec(trees=8, depth=4, rate=0.3, row_share=1.0, column_share=1.0, min_rows=3)
 DRIFT_FEATURES = [
@@ -161,7 +164,7 @@ def load_tables(spark, d):
 
 def _written_features(spark, d) -> str:
     folder = fresh_folder(spark, "features")
-    frame = series.history_features(priced(panel(spark, d)), lags=(1, 10), windows=(3,), one_row_per_week=True)
+    frame = series.history_features(priced(panel(spark, d)), one_row_per_week=True)
     artifacts.write_features(frame, folder)
     return folder
 
@@ -169,14 +172,14 @@ def _written_features(spark, d) -> str:
 @query
 def read_features(spark, d):
     back = artifacts.read_features(spark, _written_features(spark, d))
-    return tidy(back.select(*ID, "price_ratio", "num_orders_lag_1", "num_orders_lag_10", "num_orders_roll_mean_3"))
+    return tidy(back.select(*ID, "price_ratio", *HISTORY))
 
 
 @query
 def write_features(spark, d):
     back = spark.read.parquet(_written_features(spark, d))
     return back.groupBy("week_bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("num_orders").alias("units"), F.count("num_orders_lag_10").alias("lagged")
+        F.count(F.lit(1)).alias("n"), F.sum("num_orders").alias("units"), *[F.count(c).alias(c) for c in HISTORY]
     )
 
 
@@ -350,8 +353,9 @@ def time_split(spark, d):
 
 @query
 def select_features(spark, d):
-    df = features.calendar_features(priced(panel(spark, d)))
-    return tidy(df.select(*features.feature_columns(df)))
+    """Every feature column of the whole frame: prices, promotions, calendar, history and codes."""
+    frame, _, _ = features.feature_frame(enriched(spark, d, staged=True), impute=False, one_row_per_week=True)
+    return tidy(frame.select(*features.feature_columns(frame)), 4)
 
 
 @query
@@ -380,8 +384,8 @@ def half_split(spark, d):
 
 @query
 def impute_zero(spark, d):
-    lagged = series.lag_features(panel(spark, d), lags=(1, 10), one_row_per_week=True)
-    return features.impute_zero(lagged).select("id", "num_orders_lag_1", "num_orders_lag_10")
+    known = series.history_features(panel(spark, d), one_row_per_week=True)
+    return tidy(features.impute_zero(known).select("id", *HISTORY))
 
 
 @query
@@ -474,12 +478,13 @@ def scenario_cross_join(spark, d):
 
 @query
 def category_lookup(spark, d):
-    """Codes learned on the first weeks, looked up for all rows; a city seen later gets -1."""
+    """Codes of all category columns learned on the first weeks, looked up for all rows; a value seen later gets -1."""
     df = enriched(spark, d, staged=True)
     early = df.filter(F.col("week") <= 2)
-    _, codes = features.encode_categories(early, ["city_code", "category", "center_type"])
-    coded, _ = features.encode_categories(df, ["city_code", "category", "center_type"], codes)
-    return coded.select("id", "city_code", "category", "center_type")
+    columns = FeatureSpec().categorical
+    _, codes = features.encode_categories(early, columns)
+    coded, _ = features.encode_categories(df, columns, codes)
+    return coded.select("id", *columns)
 
 
 @query
@@ -1175,6 +1180,14 @@ def adaptive_loop(spark, d):
     )
 
 
+@query
+def adaptive_held_out(spark, d):
+    """Champion and corrected WMAPE of the test weeks, each corrected by profiles of the other weeks only."""
+    df = stage(priced(panel(spark, d)), "priced")
+    champion = MedianForecaster().fit(df.filter(F.col("week") <= SPLIT.train_end))
+    return adaptive.batch_scores(adaptive.held_out_correction(test_weeks(df), champion, parts=3, part_weeks=4))
+
+
 @query
 def challenger_promotion(spark, d):
     frame, names = boosted_frame(spark, d)
