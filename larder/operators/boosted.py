@@ -5,10 +5,11 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import asdict, replace
+from uuid import uuid4
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ from ..sources.staging import stage
 from .forecast import FORECAST, Forecaster
 
 VECTOR, LABEL, RAW = "_features", "_label", "_raw"
+SO_FAR, RESIDUAL = "_so_far", "_residual"
+BLOCK = 10  # trees between two looks at the validation rows
 
 
 class NotFitted(RuntimeError):
@@ -34,7 +37,8 @@ class BoostedForecaster(Forecaster):
     """Gradient-boosted trees on log1p of the target, clipped at 0.
 
     MLlib has no L2 penalty, and it measures gain per row, so no gain threshold is set. With a validation frame
-    the number of trees is the best one found before ``patience`` trees without improvement.
+    training stops once ``patience`` trees brought no improvement there, and the trees up to the best one are
+    kept. MLlib's own early stopping has no patience, so its trees are then fitted one by one to the residuals.
     """
 
     def __init__(
@@ -74,6 +78,76 @@ class BoostedForecaster(Forecaster):
             checkpointInterval=10,
         )
 
+    def _tree(self, rows: DataFrame, number: int) -> DecisionTreeRegressionModel:
+        """One tree fitted to the residuals; the number of the tree sets its seed."""
+        s = self.spec
+        forest = RandomForestRegressor(
+            featuresCol=VECTOR,
+            labelCol=RESIDUAL,
+            numTrees=1,
+            bootstrap=False,
+            maxDepth=s.depth,
+            subsamplingRate=s.row_share,
+            featureSubsetStrategy="all" if s.column_share >= 1 else str(s.column_share),
+            minInstancesPerNode=s.min_rows,
+            seed=s.seed + number,
+            maxBins=self.max_bins,
+        )
+        return forest.fit(rows).trees[0]
+
+    def _ensemble(self, trees: Sequence[DecisionTreeRegressionModel], weights: Sequence[float]) -> GBTRegressionModel:
+        """The trees as one MLlib model; Python has no constructor for it, so the one in the JVM is called."""
+        context = SparkSession.getActiveSession().sparkContext
+        regression = context._jvm.org.apache.spark.ml.regression
+        nodes = context._gateway.new_array(regression.DecisionTreeRegressionModel, len(trees))
+        shares = context._gateway.new_array(context._jvm.double, len(trees))
+        for k, (tree, weight) in enumerate(zip(trees, weights, strict=True)):
+            nodes[k], shares[k] = tree._java_obj, float(weight)
+        made = regression.GBTRegressionModel(f"gbtr_{uuid4().hex[:12]}", nodes, shares, len(self.features))
+        for name, column in {"featuresCol": VECTOR, "labelCol": LABEL, "predictionCol": RAW}.items():
+            made.set(made.getParam(name), column)
+        return GBTRegressionModel._from_java(made)
+
+    def _fit_with_patience(self, train: DataFrame, held: DataFrame) -> GBTRegressionModel:
+        """Least-squares boosting in blocks of trees, until the validation error has stopped falling.
+
+        What the trees so far add up to is a column of both frames, written after each block. So no tree is
+        applied or fitted twice beyond its block, and a lost executor costs one block at most.
+        """
+        trees, weights, errors = [], [], []
+        train, held = (df.withColumn(SO_FAR, F.lit(0.0)) for df in (train, held))
+        while len(trees) < self.spec.trees and len(trees) - self.best_length(errors or [0.0]) < self.spec.patience:
+            first, cached = len(trees), train.persist()
+            try:
+                for number in range(first, min(first + BLOCK, self.spec.trees)):
+                    now = self._with_block(cached, trees[first:], weights[first:])
+                    # As in MLlib: the first tree counts in full, the later ones fit the gradient of the squared error.
+                    residual = F.col(LABEL) if number == 0 else 2 * (F.col(LABEL) - F.col(SO_FAR))
+                    trees.append(self._tree(now.select(VECTOR, residual.alias(RESIDUAL)), number))
+                    weights.append(self.spec.rate if number else 1.0)
+                errors += self._errors(held, trees[first:], weights[first:])
+                train, held = (stage(self._with_block(df, trees[first:], weights[first:]), "boosting") for df in (cached, held))
+            finally:
+                cached.unpersist()
+        best = self.best_length(errors)
+        return self._ensemble(trees[:best], weights[:best])
+
+    def _with_block(self, df: DataFrame, trees: Sequence[DecisionTreeRegressionModel], weights: Sequence[float]) -> DataFrame:
+        if not trees:
+            return df
+        added = self._ensemble(trees, weights).transform(df)
+        return added.select(VECTOR, LABEL, (F.col(SO_FAR) + F.col(RAW)).alias(SO_FAR))
+
+    @staticmethod
+    def _errors(held: DataFrame, trees: Sequence[DecisionTreeRegressionModel], weights: Sequence[float]) -> list[float]:
+        """Mean squared error after each tree of a block, from one pass over the validation rows."""
+        running, steps = F.col(SO_FAR), []
+        for k, (tree, weight) in enumerate(zip(trees, weights, strict=True)):
+            held = tree.setFeaturesCol(VECTOR).setPredictionCol(f"_tree_{k}").transform(held)
+            running = running + weight * F.col(f"_tree_{k}")
+            steps.append(F.avg(F.pow(F.col(LABEL) - running, 2)).alias(f"e{k}"))
+        return list(held.agg(*steps).first())
+
     def best_length(self, errors: Sequence[float]) -> int:
         """Number of trees at the lowest error seen before ``patience`` trees without a lower one."""
         best = 0
@@ -90,15 +164,15 @@ class BoostedForecaster(Forecaster):
             raise KeyError(f"missing feature columns: {missing[:5]}")
         shared_folder(df.sparkSession)  # where MLlib cuts the lineage of its tree iterations
         # Read once per tree, so held in the executors; lost blocks come back from the staged table.
-        train = stage(self._prepare(df), "train-vectors").persist()
+        train = stage(self._prepare(df), "train-vectors")
+        if validation is not None:
+            held = stage(self._prepare(validation), "validation-vectors")
+            if not held.isEmpty():
+                self.model = self._fit_with_patience(train, held)
+                return self
+        train = train.persist()
         try:
             self.model = self._regressor(self.spec.trees).fit(train)
-            if validation is not None:
-                errors = self.model.evaluateEachIteration(self._prepare(validation), "squared")
-                best = self.best_length(errors)
-                if best < self.spec.trees:
-                    # The seed of a tree depends on its number only, so these are the same first trees.
-                    self.model = self._regressor(best).fit(train)
         finally:
             train.unpersist()
         return self
