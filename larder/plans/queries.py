@@ -44,7 +44,7 @@ HISTORY = [f"num_orders_lag_{n}" for n in FeatureSpec().lags] + [
 ]
 WALK = bt.Walk(folds=3, test_weeks=10, min_train_weeks=50)
 SMALL_BOOST = BoostSpec(trees=8, depth=4, rate=0.3, row_share=1.0, column_share=1.0, min_rows=3)
-PATIENT_BOOST = replace(SMALL_BOOST, trees=24, patience=5)
+PATIENT_BOOST = replace(SMALL_BOOST, trees=12, patience=3)
 DRIFT_FEATURES = [
     "checkout_price", "base_price", "discount_amount", "discount_ratio", "price_ratio", "emailer_for_promotion", "homepage_featured",
     "both_promos", "any_promo", "promo_discount_synergy", "week_of_year", "month_proxy", "quarter_proxy", "center_id", "meal_id", "num_orders",
