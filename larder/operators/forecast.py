@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scores
-from ..functions.numbers import at_least
+from ..functions.numbers import at_least, clean
 from ..sources.staging import stage
 from .heavy import exact_quantiles, group_median
 
@@ -66,16 +66,21 @@ def _some_value(kind: T.DataType) -> Column:
     return F.lit(text).cast(kind)
 
 
-def median_levels(df: DataFrame, keys: Sequence[str], target: str, by: Sequence[str] = ()) -> DataFrame:
-    """(level, by, keys, median): level 1 has the median per (by, keys), level 0 the one per ``by``.
+def target_counts(df: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
+    """(keys, value, weight): how often each target value occurs, written; a missing target is a null value."""
+    value = clean(target).alias("value")
+    counts = df.select(*keys, value).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("weight"))
+    return stage(counts, "value-counts")
 
-    The frame is read once: its value counts per group are written and also add up to those of the
-    whole, which is then ordered like one more group. At level 0 the keys have no meaning.
+
+def count_medians(counts: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(level, by, keys, median) of ``target_counts`` rows, in which a value may stand several times.
+
+    Level 1 has the median per (by, keys), level 0 the one per ``by``: the counts add up to those of the whole,
+    which is then ordered like one more group. At level 0 the keys have no meaning.
     """
     by, keys = list(by), list(keys)
-    value = F.col(target).cast("double").alias("value")
-    rows = df.select(*by, *keys, value).filter("value IS NOT NULL AND NOT isnan(value)")
-    counts = stage(rows.groupBy(*by, *keys, "value").agg(F.count(F.lit(1)).alias("weight")), "value-counts")
+    counts = counts.filter("value IS NOT NULL")
     whole = counts.groupBy(*by, "value").agg(F.sum("weight").alias("weight"))
     unused = [_some_value(counts.schema[k].dataType).alias(k) for k in keys]
     both = whole.select(F.lit(0).alias("level"), *by, *unused, "value", "weight")
@@ -86,6 +91,11 @@ def median_levels(df: DataFrame, keys: Sequence[str], target: str, by: Sequence[
     return stage(found.select("level", *by, *keys, F.col("quantiles")[0].alias("median")), "medians")
 
 
+def median_levels(df: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
+    """(level, keys, median) of the target per group and of all rows; the frame is read once."""
+    return count_medians(target_counts(df, keys, target), keys)
+
+
 def apply_medians(df: DataFrame, medians: DataFrame, overall: Column, keys: Sequence[str]) -> DataFrame:
     """Group median where the group is known, else the overall median, clipped at 0."""
     known = df.join(medians, list(keys), "left")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores
@@ -14,6 +14,7 @@ from ..functions.numbers import col, half_up
 from ..operators.explore import last_history
 from ..operators.forecast import FORECAST, Forecaster, score
 from ..operators.profiles import KEYS, adaptive_forecast, sku_profiles
+from ..session import exists
 from ..sources.contracts import FEEDBACK_SCHEMA
 from ..sources.staging import stage
 
@@ -50,18 +51,33 @@ def feedback_rows(
     )
 
 
-def feedback_summary(log: DataFrame) -> DataFrame:
-    """Count, measures, mean bias and share of under- and over-forecasts of a log, in one row."""
+def partial_sums() -> list[Column]:
+    """What a summary needs of log records, in the order of ``SUMS``; sums of several parts add up."""
     error = F.col("error")
-    sums = log.agg(
+    return [
         F.count(F.lit(1)).alias("sample_count"),
-        F.avg(error).alias("bias"),
-        F.avg((error > 0).cast("int")).alias("under"),
-        F.avg((error < 0).cast("int")).alias("over"),
+        F.count(error).alias("errors"),
+        F.sum(error).alias("error_sum"),
+        F.count_if(error > 0).cast("bigint").alias("under"),
+        F.count_if(error < 0).cast("bigint").alias("over"),
         *scores.error_sums("actual_orders", "forecast_orders"),
-    )
+    ]
+
+
+SUMS = (
+    "sample_count bigint, errors bigint, error_sum double, under bigint, over bigint, "
+    "pairs bigint, abs_error double, sq_error double, sq_log_error double, abs_actual double"
+)
+SUM_COLUMNS = [part.strip().split(" ")[0] for part in SUMS.split(",")]
+
+
+def summary_of_sums(parts: DataFrame) -> DataFrame:
+    """Count, measures, mean bias and share of under- and over-forecasts in one row, from rows of ``SUMS``."""
+    sums = parts.agg(*[F.sum(name).alias(name) for name in SUM_COLUMNS])
+    sums = sums.withColumn("sample_count", F.coalesce("sample_count", F.lit(0).cast("bigint")))
     measures = scores.from_sums()
     empty = F.col("sample_count") == 0
+    n = F.nullif(F.col("errors"), F.lit(0))
 
     def shown(c: Column) -> Column:
         return F.when(~empty, c)
@@ -70,39 +86,77 @@ def feedback_summary(log: DataFrame) -> DataFrame:
         F.when(empty, "EMPTY").otherwise("ACTIVE").alias("status"),
         "sample_count",
         *[shown(measures[m]).alias(m) for m in ("wmape", "rmsle", "mae", "rmse")],
-        shown(half_up("bias", 2)).alias("mean_bias_units"),
-        shown(half_up(F.col("under") * 100, 2)).alias("under_forecast_rate_pct"),
-        shown(half_up(F.col("over") * 100, 2)).alias("over_forecast_rate_pct"),
+        shown(half_up(F.col("error_sum") / n, 2)).alias("mean_bias_units"),
+        shown(half_up(F.col("under") / n * 100, 2)).alias("under_forecast_rate_pct"),
+        shown(half_up(F.col("over") / n * 100, 2)).alias("over_forecast_rate_pct"),
     )
 
 
+def feedback_summary(log: DataFrame) -> DataFrame:
+    """``summary_of_sums`` of log records."""
+    return summary_of_sums(log.agg(*partial_sums()))
+
+
 class FeedbackLog:
     """Append-only log of realized weeks: a Parquet table with one folder per batch.
 
     Writing a batch again replaces its folder, so a repeated batch leaves no duplicates. All records count
     unless the caller asks for the newest ``max_history`` only.
+
+    The sums of each batch are taken while its records are written and kept beside the log, one row per batch
+    number, so a summary adds up these rows and reads no records. A batch counts in it from the moment its sums are
+    written, which is after its records; a batch that was stopped in between is put right when it is repeated.
     """
 
     def __init__(self, spark: SparkSession, folder: str, max_history: int | None = None) -> None:
         if max_history is not None and max_history <= 0:
             raise ValueError(f"max_history must be positive, got {max_history}")
         self.spark, self.folder, self.max_history = spark, folder, max_history
+        self.sums_folder = f"{folder.rstrip('/')}-sums"
+
+    def _written(self, folder: str, schema: str) -> DataFrame | None:
+        if not exists(self.spark, folder):
+            return None
+        found = self.spark.read.schema(schema).parquet(folder)
+        return found.select(*[part.strip().split(" ")[0] for part in schema.split(",")])
 
     def record(self, scored: DataFrame, batch_id: int, **columns) -> None:
-        rows = feedback_rows(scored, batch_id, **columns)
+        if self._written(self.sums_folder, SUMS) is None and self._written(self.folder, FEEDBACK_SCHEMA) is not None:
+            self.rebuild_sums()
+        seen = Observation()
+        rows = feedback_rows(scored, batch_id, **columns).observe(seen, *partial_sums())
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
             self.folder
         )
+        got = seen.get
+        if got["sample_count"]:  # no rows replace nothing in the log either
+            one = self.spark.createDataFrame([tuple(got[name] for name in SUM_COLUMNS)], SUMS)
+            one.coalesce(1).write.mode("overwrite").parquet(f"{self.sums_folder}/batch_id={batch_id}")
+
+    def rebuild_sums(self) -> None:
+        """Work out the sums of all batches from the log, for one that was written without them."""
+        sums = self.everything().groupBy("batch_id").agg(*partial_sums())
+        sums.write.mode("overwrite").partitionBy("batch_id").parquet(self.sums_folder)
+
+    def sums(self) -> DataFrame:
+        """(batch_id, ``SUMS``), one row per batch."""
+        found = self._written(self.sums_folder, f"batch_id bigint, {SUMS}")
+        return self.everything().groupBy("batch_id").agg(*partial_sums()) if found is None else found
 
     def everything(self) -> DataFrame:
-        try:
-            found = self.spark.read.schema(FEEDBACK_SCHEMA).parquet(self.folder)
-        except AnalysisException as err:
-            if "PATH_NOT_FOUND" not in str(err.getCondition()):
-                raise
-            return self.spark.createDataFrame([], FEEDBACK_SCHEMA)
-        names = [part.strip().split(" ")[0] for part in FEEDBACK_SCHEMA.split(",")]
-        return found.select(*names)
+        found = self._written(self.folder, FEEDBACK_SCHEMA)
+        return self.spark.createDataFrame([], FEEDBACK_SCHEMA) if found is None else found
+
+    def _crossing(self) -> tuple[int, int] | None:
+        """The batch in which the newest ``max_history`` rows run out and how many of them it holds."""
+        # One row per batch; one of them comes back.
+        upto = F.sum("sample_count").over(Window.orderBy(F.col("batch_id").desc()))
+        sizes = self.sums().select("batch_id", "sample_count").withColumn("upto", upto)
+        row = sizes.filter(F.col("upto") > self.max_history).orderBy(F.col("batch_id").desc()).first()
+        return None if row is None else (row["batch_id"], self.max_history - (row["upto"] - row["sample_count"]))
+
+    def _edge(self, batch_id: int, room: int) -> DataFrame:
+        return last_history(self.everything().filter(F.col("batch_id") == batch_id), room)
 
     def read(self) -> DataFrame:
         """All records, or the newest ``max_history`` if that was asked for.
@@ -111,20 +165,23 @@ class FeedbackLog:
         neither older batches are read nor the kept ones sorted.
         """
         log = self.everything()
-        if self.max_history is None:
-            return log
-        # One row per batch; the batch in which the newest rows run out is all that comes back.
-        upto = F.sum("n").over(Window.orderBy(F.col("batch_id").desc()))
-        sizes = log.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
-        crossing = sizes.filter(F.col("upto") > self.max_history).orderBy(F.col("batch_id").desc()).first()
+        crossing = None if self.max_history is None else self._crossing()
         if crossing is None:
             return log
-        room = self.max_history - (crossing["upto"] - crossing["n"])
-        kept = log.filter(F.col("batch_id") > crossing["batch_id"])
-        return kept.unionByName(last_history(log.filter(F.col("batch_id") == crossing["batch_id"]), room)) if room else kept
+        batch_id, room = crossing
+        kept = log.filter(F.col("batch_id") > batch_id)
+        return kept.unionByName(self._edge(batch_id, room)) if room else kept
 
     def summary(self) -> DataFrame:
-        return feedback_summary(self.read())
+        """The summary of ``read()``, from the sums of the batches; only a batch cut by the limit is read."""
+        sums = self.sums()
+        crossing = None if self.max_history is None else self._crossing()
+        if crossing is not None:
+            batch_id, room = crossing
+            sums = sums.filter(F.col("batch_id") > batch_id)
+            if room:
+                sums = sums.drop("batch_id").unionByName(self._edge(batch_id, room).agg(*partial_sums()))
+        return summary_of_sums(sums)
 
 
 @dataclass

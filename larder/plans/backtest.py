@@ -10,12 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scores
-from ..operators.forecast import FORECAST, Forecaster, median_levels, score
+from ..operators.forecast import FORECAST, Forecaster, count_medians, score, target_counts
 from ..functions.numbers import at_least
 from ..operators.slices import sliced_scores
 from ..sources.staging import stage
 
 
+_BAND = "_train_band"
+
+
 @dataclass(frozen=True)
 class Walk:
     """How the folds are laid out; the newest fold ends at the last week."""
@@ -91,6 +94,40 @@ def in_folds(df: DataFrame, bounds: list, part: str, walk: Walk = Walk()) -> Dat
     return df.filter(outer).withColumn("fold_index", F.explode(matches))
 
 
+def train_bands(bounds: list) -> list[tuple[int, int, list[int]]]:
+    """(first week, last week, folds): stretches of weeks that the same folds train on, none of them twice."""
+    edges = sorted({b["train_start"] for b in bounds} | {b["train_end"] + 1 for b in bounds})
+    bands = []
+    for start, after in zip(edges, edges[1:]):
+        folds = [b["fold_index"] for b in bounds if b["train_start"] <= start and after - 1 <= b["train_end"]]
+        if folds:
+            bands.append((start, after - 1, folds))
+    return bands
+
+
+def fold_counts(df: DataFrame, bounds: list, keys: Sequence[str], walk: Walk = Walk()) -> DataFrame:
+    """(fold_index, keys, value, weight): the target values that each fold trains on and how often.
+
+    Training rows are counted once, by key and band of weeks, and the counts of the bands are dealt to the folds;
+    a value stands in a fold once for each of its bands. A missing target is a null value.
+    """
+    bands = train_bands(bounds)
+    week = F.col(walk.time)
+    if not bands:
+        empty = target_counts(df.limit(0), keys, walk.target)
+        return empty.select(F.lit(None).cast("int").alias("fold_index"), *empty.columns)
+    number = reduce(
+        lambda chain, i: chain.when(week <= bands[i][1], F.lit(i)), range(1, len(bands)), F.when(week <= bands[0][1], F.lit(0))
+    )
+    # Bands that no fold trains on lie between two others only if the folds leave a gap; their weeks are left out here.
+    used = reduce(lambda a, b: a | b, [week.between(start, end) for start, end, _ in bands])
+    outer = week.between(bands[0][0], bands[-1][1])
+    banded = df.filter(outer & used).withColumn(_BAND, number)
+    counts = target_counts(banded, [_BAND, *keys], walk.target)
+    folds = F.array(*[F.array(*[F.lit(f) for f in folds]) for _, _, folds in bands])
+    return counts.withColumn("fold_index", F.explode(F.get(folds, F.col(_BAND)))).drop(_BAND)
+
+
 def fold_scores(
     predictions: DataFrame, train_rows: DataFrame, bounds: list, walk: Walk = Walk()
 ) -> DataFrame:
@@ -109,11 +146,14 @@ def fold_scores(
 def median_predictions(
     df: DataFrame, bounds: list, keys: Sequence[str] = ("center_id", "meal_id"), walk: Walk = Walk()
 ) -> tuple[DataFrame, DataFrame]:
-    """Median baseline of all folds in one plan: (predictions, training rows per fold)."""
+    """Median baseline of all folds in one plan: (predictions, training rows per fold).
+
+    The training rows are read once, whatever the number of folds.
+    """
     keys = list(keys)
-    slim = in_folds(df.select(*keys, walk.time, walk.target), bounds, "train", walk)
-    train_rows = slim.groupBy("fold_index").agg(F.count(F.lit(1)).alias("train_samples"))
-    levels = median_levels(slim, keys, walk.target, by=["fold_index"])
+    counts = fold_counts(df, bounds, keys, walk)
+    train_rows = counts.groupBy("fold_index").agg(F.sum("weight").alias("train_samples"))
+    levels = count_medians(counts, keys, by=["fold_index"])
     medians = levels.filter("level = 1").select("fold_index", *keys, F.col("median").alias("group_median"))
     overall = levels.filter("level = 0").select("fold_index", F.col("median").alias("overall_median"))
     # One row per fold; the inner join leaves out folds without training rows.

@@ -755,6 +755,13 @@ FROM (SELECT service_level, pos, sum(wasted) * 5 + sum(stockout) * 160 AS cost F
     "profile_safety_stock": q(
         PANEL, PRICED, ALL_SCORED, ALL_PROFILES, select="SELECT center_id, meal_id, recommended_safety_stock FROM profiles"
     ),
+    "feedback_summary_newest": q(
+        PANEL,
+        SCORED,
+        f"""log AS (SELECT * FROM (SELECT 1 AS batch_id, * FROM ({log('val')}) UNION ALL SELECT 2, * FROM ({log('test')}))
+ORDER BY batch_id DESC, week DESC, center_id DESC, meal_id DESC LIMIT 4000)""",
+        select=SUMMARY,
+    ),
     "feedback_summary": q(PANEL, SCORED, f"log AS ({log('scored')})", select=SUMMARY),
     "weekly_totals": q(
         PANEL,
