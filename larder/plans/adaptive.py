@@ -152,7 +152,8 @@ class FeedbackLog:
         # One row per batch; one of them comes back.
         upto = F.sum("sample_count").over(Window.orderBy(F.col("batch_id").desc()))
         sizes = self.sums().select("batch_id", "sample_count").withColumn("upto", upto)
-        row = sizes.filter(F.col("upto") > self.max_history).orderBy(F.col("batch_id").desc()).first()
+        edge = F.max(F.struct("batch_id", "sample_count", "upto")).alias("edge")
+        row = sizes.filter(F.col("upto") > self.max_history).agg(edge).first()["edge"]
         return None if row is None else (row["batch_id"], self.max_history - (row["upto"] - row["sample_count"]))
 
     def _edge(self, batch_id: int, room: int) -> DataFrame:
