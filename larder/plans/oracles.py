@@ -1057,4 +1057,6 @@ FROM (SELECT wmape AS champion_wmape FROM (SELECT {measures(names="wmape")} FROM
 }
 
 ORACLES["feature_pipeline"] = ORACLES["feature_frame"]
+for _name in ("lag_features", "sku_profile", "adaptive_correction"):
+    ORACLES[f"{_name}_colocated"] = ORACLES[_name]
 ORACLES["training_pipeline"] = ORACLES["training_run_median"]

@@ -27,6 +27,7 @@ from ..operators.heavy import group_median, value_counts, exact_quantiles
 from ..session import fresh_folder, tune
 from ..operators.sketches import RANK_ERROR, SketchTable
 from ..sources import artifacts, star, tables as table_reader
+from ..sources.colocated import SeriesTable
 from ..sources.contracts import CONTRACTS
 from ..sources.staging import stage
 from ..streaming.feedback import FeedbackStream
@@ -633,6 +634,12 @@ def sku_profile(spark, d):
     return profiles.sku_profiles(_profile_input(spark, d))
 
 
+@query
+def sku_profile_colocated(spark, d):
+    """Profiles from a table that is written by series."""
+    return profiles.sku_profiles(SeriesTable.write(_profile_input(spark, d), fresh_folder(spark, "series")).series())
+
+
 @query
 def sku_profile_gaps(spark, d):
     """Profiles where demand, price or forecast is missing in some weeks."""
@@ -735,6 +742,14 @@ def lag_features_long_series(spark, d):
     return lagged.select("id", *[f"num_orders_lag_{n}" for n in FeatureSpec().lags])
 
 
+@query
+def lag_features_colocated(spark, d):
+    """Lags from a panel that is written by series: no shuffle after the write."""
+    table = SeriesTable.write(staged_panel(spark, d), fresh_folder(spark, "series"), order=["week", "id"])
+    lagged = series.lag_features(table.series(), one_row_per_week=True)
+    return lagged.select("id", *[f"num_orders_lag_{n}" for n in FeatureSpec().lags])
+
+
 @query
 def rolling_mean(spark, d):
     rolled = series.rolling_features(panel(spark, d), one_row_per_week=True)
@@ -932,6 +947,15 @@ def adaptive_correction(spark, d):
     return tidy(corrected.select(*ID, "adaptive_orders", "adaptive_stock"))
 
 
+@query
+def adaptive_correction_colocated(spark, d):
+    """Profiles and their lookup, both bucket by bucket."""
+    scored = test_weeks(stage(split_scored(staged_panel(spark, d)), "scored"))
+    rows = SeriesTable.write(scored, fresh_folder(spark, "series")).series()
+    corrected = profiles.adaptive_forecast(rows, profiles.sku_profiles(rows))
+    return tidy(corrected.select(*ID, "adaptive_orders", "adaptive_stock"))
+
+
 class _Ready(forecast.Forecaster):
     """For frames that carry their forecast already."""
 
