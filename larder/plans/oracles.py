@@ -72,6 +72,7 @@ def q(*ctes: str, select: str) -> str:
 
 PANEL = _panel()
 REGION = _panel("region")
+NATION = _panel("nation")
 DIMS = _dims()
 DIRTY = """dirty AS (
   SELECT CASE WHEN week % 97 = 0 THEN NULL WHEN week % 89 = 0 THEN CAST(week AS BIGINT) ELSE id END AS id, week,
@@ -1059,4 +1060,22 @@ FROM (SELECT wmape AS champion_wmape FROM (SELECT {measures(names="wmape")} FROM
 ORACLES["feature_pipeline"] = ORACLES["feature_frame"]
 for _name in ("lag_features", "sku_profile", "adaptive_correction"):
     ORACLES[f"{_name}_colocated"] = ORACLES[_name]
-ORACLES["training_pipeline"] = ORACLES["training_run_median"]
+ORACLES["backtest_boosted_folds"] = q(
+    NATION,
+    _folds(),
+    _fold_predictions(),
+    select="""SELECT fold_index, train_start, train_end, test_start, test_end, train_samples, count(*) AS test_samples,
+  true AS measured FROM pred JOIN folds USING (fold_index) JOIN fo USING (fold_index) GROUP BY ALL""",
+)
+ORACLES["boosted_facts"] = q(
+    NATION,
+    select=f"""SELECT count(*) AS n, 0 AS negative, 0 AS without_forecast, 1.0::DOUBLE AS importance_total, 0 AS unlisted, true AS best_first,
+  4 AS scenarios, 0 AS negative_totals, true AS below_median FROM panel WHERE week > {VAL_END}""",
+)
+ORACLES["challenger_rule"] = "SELECT true AS follows_rule, true AS measured"
+ORACLES["training_pipeline"] = q(
+    NATION,
+    select=f"""SELECT count(*) FILTER (week > {VAL_END}) AS plan_rows, 0 AS negative_forecasts, 0 AS below_forecast,
+  count(*) FILTER (week <= {TRAIN_END}) AS train_rows, count(*) FILTER (week > {VAL_END}) AS test_rows,
+  true AS beats_median, true AS model_saved FROM panel""",
+)

@@ -1181,6 +1181,38 @@ def backtest_boosted(spark, d):
     return bt.backtest(frame, lambda: BoostedForecaster(names, tree), walk=WALK).folds
 
 
+@query
+def backtest_boosted_folds(spark, d):
+    """Bounds and samples of the folds that the trees were fitted and scored on, and whether each has its measures."""
+    folds = QUERIES["backtest_boosted"](spark, d)
+    measured = F.col("mae").isNotNull() & F.col("rmse").isNotNull() & F.col("wmape").between(0, 1) & F.col("rmsle").isNotNull()
+    bounds = ["fold_index", "train_start", "train_end", "test_start", "test_end", "train_samples", "test_samples"]
+    return folds.select(*bounds, measured.alias("measured"))
+
+
+@query
+def boosted_facts(spark, d):
+    """What must hold of a fitted tree model, its importances and its scenarios, counted over all rows."""
+    model, frame = fitted_boost(spark, d)
+    test = stage(model.transform(test_weeks(frame)), "scored")
+    median = MedianForecaster().fit(frame.filter(F.col("week") <= SPLIT.train_end)).evaluate(test.drop(FORECAST))
+    ranked = stage(model.importances(len(model.features)), "importances")
+    total = half_up(F.sum("importance"), 6).alias("importance_total")
+    parts = ranked.agg(total, (F.lit(len(model.features)) - F.count_distinct("feature")).alias("unlisted"))
+    first = F.max_by("feature", "importance") == F.min_by("feature", "position")
+    scenarios_seen = scenarios.stress_test(frame, model).agg(
+        F.count(F.lit(1)).alias("scenarios"), F.count_if(F.col("stressed_total_demand") < 0).cast("bigint").alias("negative_totals")
+    )
+    row = test.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col(FORECAST) < 0).cast("bigint").alias("negative"),
+        F.count_if(F.col(FORECAST).isNull()).cast("bigint").alias("without_forecast"),
+    )
+    better = forecast.score(test).select("wmape").scalar() < median.select("wmape").scalar()
+    rows = {"rows": row, "listed": parts, "order": ranked.agg(first.alias("best_first")), "what_if": scenarios_seen}
+    return artifacts.metrics_row(rows).select(*[f"{name}.*" for name in rows], better.alias("below_median"))
+
+
 @query
 def fold_table(spark, d):
     return bt.fold_table(panel(spark, d), WALK)
@@ -1238,6 +1270,35 @@ def challenger_promotion(spark, d):
     )
 
 
+@query
+def challenger_rule(spark, d):
+    """A challenger is promoted exactly if its error is below the champion's."""
+    r = QUERIES["challenger_promotion"](spark, d)
+    follows = F.col("promoted") == (F.col("challenger_wmape") < F.col("champion_wmape"))
+    return r.select(follows.alias("follows_rule"), F.col("adaptive_wmape").between(0, 1).alias("measured"))
+
+
+@query
+def training_pipeline(spark, d):
+    """The whole run with boosted trees that stop by patience: what it read and wrote, and that it beats the baseline."""
+    folder = fresh_folder(spark, "run")
+    settings = replace(SETTINGS, boost=PATIENT_BOOST)
+    result = training.train(star.star_tables(spark, d, "nation"), settings, folder=folder, one_row_per_week=True)
+    plan = artifacts.read_plan(spark, f"{folder}/data/processed/inventory_recommendations", result.plan.schema)
+    metrics = artifacts.read_metrics(spark, f"{folder}/models/metrics", training.summary_row(result).schema)
+    beaten = metrics.select(F.col("model_metrics.wmape") < F.col("baseline_metrics.wmape")).scalar()
+    saved = BoostedForecaster.load(spark, f"{folder}/models/boosted")
+    return plan.agg(
+        F.count(F.lit(1)).alias("plan_rows"),
+        F.count_if(F.col("forecast_orders") < 0).cast("bigint").alias("negative_forecasts"),
+        F.count_if(F.col("recommended_preparation") < F.col("forecast_orders")).cast("bigint").alias("below_forecast"),
+        F.lit(result.train_rows).cast("bigint").alias("train_rows"),
+        F.lit(result.test_rows).cast("bigint").alias("test_rows"),
+        beaten.alias("beats_median"),
+        F.lit(saved.features == result.features).alias("model_saved"),
+    )
+
+
 @query
 def training_run(spark, d):
     settings = replace(SETTINGS, boost=replace(SMALL_BOOST, trees=5))
@@ -1323,4 +1384,3 @@ def region_kpis(spark, d):
 
 # The operators' own names for queries that were registered by what they return.
 QUERIES["feature_pipeline"] = QUERIES["feature_frame"]
-QUERIES["training_pipeline"] = QUERIES["training_run_median"]
