@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import Block, mix, text_blocks
-from .hashed import sampled
 from .tables import documents
 
 EDGE = 0  # stands for every run of characters between words
@@ -30,6 +29,7 @@ class ProfileSpec:
     size: int = 2048  # components of a vector
     gram: int = 3
     most_rows: int = 4000  # training texts of each language: the bound of the sample
+    most_languages: int = 1000  # the most frequent ones are learned: the bound of the profiles, 8 MB
     seed: int = 4
 
 
@@ -112,11 +112,26 @@ class Profiles:
     vectors: np.ndarray  # one row for each language, of length one
 
 
+def training_texts(labelled: DataFrame, spec: ProfileSpec) -> DataFrame:
+    """``text, lang`` of about ``most_rows`` distinct (id, text) pairs of each language, all where there are fewer.
+
+    Repeated rows count once, so neither an id nor a text that fills a third of the table takes the places of the
+    others, and the sample is bounded in rows. Of more than ``most_languages`` languages, those with the most
+    pairs are learned, of equally frequent ones the first in order.
+    """
+    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("doc_id", "text"), 0.02).alias("n"))
+    learned = sizes.orderBy(F.col("n").desc(), "lang").limit(spec.most_languages)
+    share = F.lit(spec.most_rows * 1_000_000) / F.col("n")
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(1_000_000))
+    chosen = labelled.select("doc_id", "text", "lang").join(F.broadcast(learned), "lang").filter(place < share)
+    return chosen.select("doc_id", "text", "lang").distinct().select("text", "lang")
+
+
 def fit(docs: DataFrame, spec: ProfileSpec = ProfileSpec()) -> Profiles:
-    """Profiles from ``docs(doc_id, text, lang)``; rows without a language are left out.
+    """Profiles from ``docs(doc_id, text, lang)``; rows without a language or an id are left out.
 
-    A profile is the sum of its texts' vectors, each brought to length one. At most about ``most_rows`` texts of
-    each language are used. The profiles have ``size`` numbers for each language, some thousands at most.
+    A profile is the sum of its texts' vectors, each brought to length one, over ``training_texts``. The driver gets
+    ``size`` numbers for each of at most ``most_languages`` languages.
     """
     schema = pa.schema([("lang", pa.string()), ("vector", pa.list_(pa.float64()))])
 
@@ -135,14 +150,13 @@ def fit(docs: DataFrame, spec: ProfileSpec = ProfileSpec()) -> Profiles:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array(list(sums.values()), schema.field(1).type)], schema=schema)
 
     labelled = docs.filter("lang is not null and doc_id is not null")
-    chosen = sampled(labelled, "lang", spec.most_rows).select("text", "lang")
-    parts = chosen.mapInArrow(work, "lang string, vector array<double>")
-    totals = parts.select("lang", F.posexplode("vector")).groupBy("lang", "pos").agg(F.sum("col").alias("x"))
-    found = totals.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("v")).collect()
-    found = sorted(found, key=lambda r: r["lang"])
-    vectors = np.array([[x["x"] for x in r["v"]] for r in found]).reshape(len(found), spec.size)
+    parts = training_texts(labelled, spec).mapInArrow(work, "lang string, vector array<double>")
+    totals = parts.select("lang", F.posexplode("vector")).groupBy("lang", "pos").agg(F.sum("col").alias("x")).toArrow()
+    languages, at = np.unique(np.array(totals.column("lang").to_pylist(), object), return_inverse=True)
+    vectors = np.zeros((len(languages), spec.size))
+    vectors[at, totals.column("pos").to_numpy()] = totals.column("x").to_numpy()
     length = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return Profiles([r["lang"] for r in found], vectors / np.where(length > 0, length, 1))
+    return Profiles(languages.tolist(), vectors / np.where(length > 0, length, 1))
 
 
 def predict(docs: DataFrame, profiles: Profiles, spec: ProfileSpec = ProfileSpec()) -> DataFrame:
@@ -175,7 +189,8 @@ def identify(
 ) -> DataFrame:
     """Fits on the rows for which ``learn_from`` (a condition on ``doc_id``) holds, and predicts every row.
 
-    Texts that are null or without a letter get ``und`` and score 0, as every text does if nothing was learned.
+    Texts that are null or without a letter get ``und`` and score 0, as every text does if nothing was learned. Of
+    languages with equal cosines the first in code-point order is predicted. Equal texts are judged alike.
     """
     texts = documents(docs, id_col, text_col, lang=lang_col)
     return predict(texts, fit(texts.filter(learn_from), spec), spec)
