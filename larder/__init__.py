@@ -8,6 +8,7 @@ from .operators.profiles import sku_profiles
 from .plans.adaptive import AdaptiveLoop, FeedbackLog
 from .plans.backtest import Walk, backtest
 from .plans.training import train
+from .session import scratch
 from .sources.tables import load_tables
 
 __all__ = [
@@ -29,6 +30,7 @@ __all__ = [
     "policy_replay",
     "recommend",
     "score",
+    "scratch",
     "sku_profiles",
     "stock_plan",
     "train",

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -62,9 +65,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("larder_scratch", default=None)
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared folder; nothing is ever overwritten."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder name below the shared folder, or the ``scratch`` one in use; nothing is ever overwritten."""
+    return f"{_SCRATCH.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables of the block go below one folder, which is removed at its end, also after an error.
+
+    Frames are lazy: read or save all results inside the block, to folders of your own. Blocks may be nested. Work that
+    another thread does, such as a stream's batches, writes outside.
+    """
+    folder = fresh_folder(spark, "scratch")
+    token = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(token)
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
