@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 
@@ -62,6 +63,22 @@ def test_volatility_bounds(spark, std, tier):
     assert (p.residual_std, p.volatility_tier) == (std, tier)
 
 
+def test_a_deviation_on_the_bound_does_not_depend_on_the_order(spark):
+    """Deviation exactly 15 in any order of the rows: not above the bound."""
+    orders = set(itertools.permutations([19.0, 9.0, 9.0, -21.0])) | set(itertools.permutations([-4.0, 20.0, 14.0, -18.0]))
+    data = [
+        (10 * i + w, w, i, 7, 100.0, 0, 80.0, 80.0 + r) for i, residuals in enumerate(orders) for w, r in enumerate(residuals)
+    ]
+    found = profiles.sku_profiles(spark.createDataFrame(data, PROFILE).coalesce(1))
+    assert rows(found.select("residual_std", "volatility_tier").distinct()) == [(15.0, "LOW")]
+
+
+def test_a_small_deviation_beside_a_large_mean(spark):
+    """The plain sums lose all digits there; the moments do not."""
+    p = one(batch(spark, n=14, actual=lambda w: 1e9 + (40.0 if w % 2 else -40.0) + 0.1))
+    assert p.residual_std == pytest.approx(40.0, abs=0.01)
+
+
 @pytest.mark.parametrize("demand, tier", [(75.0, "LOW"), (75.5, "MEDIUM"), (250.0, "MEDIUM"), (250.5, "HIGH")])
 def test_volume_bounds(spark, demand, tier):
     assert one(batch(spark, actual=lambda w: demand)).volume_tier == tier
