@@ -8,6 +8,9 @@ the pieces in parallel and put the exact result together.
 A group is cut if it has more than ``LIGHT_ROWS`` rows, the most that one task orders, into as many pieces as
 that takes (``PIECES`` at most). So there is at most one heavy group for each ``LIGHT_ROWS`` rows of the data, and
 two split points for each: a millionth of the rows in numbers, which is what is broadcast about them.
+
+A sketch depends on the order in which its parts arrive, so the same split points worked out twice may differ. They are
+therefore worked out once: written if a plan needs them in two places, else carried along as the bounds of each piece.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
+
 PIECES = 2048
 LIGHT_ROWS = 1_000_000
 ACCURACY = 10_000
@@ -107,6 +112,7 @@ def cut_series(
     splits = _splits(
         df.select(*keys, *order).join(F.broadcast(heavy), list(keys)), keys, position, light_rows, pieces, *kept
     )
+    splits = stage(splits, "splits")
     tagged = df.join(F.broadcast(splits), list(keys), "left").withColumn("piece", _piece(position))
 
     # The last rows of each piece: row_number <= reach is limited per task before it is shuffled.
@@ -194,7 +200,12 @@ def exact_quantiles(
         counts.join(F.broadcast(splits), names)
         .withColumn("piece", _piece(F.col("value")))
         .groupBy(*names, "piece")
-        .agg(F.sum("weight").alias("inside"), F.first("n").alias("n"))
+        .agg(
+            F.sum("weight").alias("inside"),
+            F.first("n").alias("n"),
+            F.first(F.get("splits.fine", F.col("piece") - 1)).alias("above_split"),
+            F.first(F.get("splits.fine", F.col("piece"))).alias("upto_split"),
+        )
     )
     below = F.sum("inside").over(Window.partitionBy(*names).orderBy("piece")) - F.col("inside")
     totals = totals.withColumn("below", below)
@@ -204,15 +215,7 @@ def exact_quantiles(
             k = edge(F.lit(float(p)) * (F.col("n") - 1))
             holds = holds | ((k >= F.col("below")) & (k < F.col("below") + F.col("inside")))
     # Second pass: only the values between the split points around a wanted piece.
-    wanted = totals.filter(holds).join(F.broadcast(splits.drop("n")), names)
-    wanted = wanted.select(
-        *names,
-        "n",
-        "piece",
-        "below",
-        F.get("splits.fine", F.col("piece") - 1).alias("above_split"),
-        F.get("splits.fine", F.col("piece")).alias("upto_split"),
-    )
+    wanted = totals.filter(holds).select(*names, "n", "piece", "below", "above_split", "upto_split")
     here = (F.col("above_split").isNull() | (F.col("value") > F.col("above_split"))) & (
         F.col("upto_split").isNull() | (F.col("value") <= F.col("upto_split"))
     )
@@ -235,7 +238,7 @@ def cumulate(
     piece totals can be broadcast; the number of values per key is not limited. ``counts`` must hold
     each (key, value) once. Adds ``upto_<weight>``.
     """
-    splits = _splits(counts, [key], F.col("value"), light_rows, pieces)
+    splits = stage(_splits(counts, [key], F.col("value"), light_rows, pieces), "splits")
     cut = counts.join(F.broadcast(splits), key).withColumn("piece", _piece(F.col("value"))).drop("splits")
     inside = Window.partitionBy(key, "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     # Both uses of these rows share one shuffle by (key, piece).

@@ -65,3 +65,16 @@ def test_cumulate_equals_brute_force(spark):
 def test_weights(spark):
     df = spark.createDataFrame([("a", 1.0, 3), ("a", 5.0, 1), ("a", 9.0, 0)], "k string, value double, w int")
     assert rows(exact_quantiles(df, ["k"], [0.5, 1.0], "w"))[0] == ("a", [1.0, 5.0])
+
+
+def sketches(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("percentile_approx")
+
+
+def test_split_points_are_worked_out_once(spark):
+    """A sketch may come out differently the second time, so that a wanted piece would be looked for between other bounds."""
+    df = spark.createDataFrame(data(1), "k string, v double")
+    counts = value_counts(df, ["k"], "v")
+    assert sketches(exact_quantiles(counts, ["k"], PROBS, light_rows=50, pieces=8)) == 1
+    assert sketches(cumulate(counts, "k", ["weight"], pieces=8)) == 0  # written
+    assert sketches(cut_series(df, ["k"], ["v"], 2, [], light_rows=50)) == 0
