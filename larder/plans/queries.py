@@ -1028,26 +1028,26 @@ def improvement_pct(spark, d):
 
 @query
 def psi(spark, d):
-    counts = stage(drift.side_counts(_sides(spark, d), DRIFT_FEATURES), "counts")
+    counts = drift.drift_counts(_sides(spark, d), DRIFT_FEATURES)
     return tidy(drift.psi(counts))
 
 
 @query
 def psi_long_groups(spark, d):
     """The bin edges found through pieces."""
-    counts = stage(drift.side_counts(_sides(spark, d), DRIFT_FEATURES), "counts")
+    counts = drift.drift_counts(_sides(spark, d), DRIFT_FEATURES)
     return tidy(drift.psi(counts, light_rows=10, pieces=16))
 
 
 @query
 def ks_statistic(spark, d):
-    counts = stage(drift.side_counts(_sides(spark, d), DRIFT_FEATURES), "counts")
+    counts = drift.drift_counts(_sides(spark, d), DRIFT_FEATURES)
     return tidy(drift.ks_test(counts).select("feature", "ks_statistic"))
 
 
 @query
 def ks_p_value(spark, d):
-    counts = stage(drift.side_counts(_sides(spark, d), DRIFT_FEATURES), "counts")
+    counts = drift.drift_counts(_sides(spark, d), DRIFT_FEATURES)
     return tidy(drift.ks_test(counts).select("feature", "ks_p_value"))
 
 

@@ -251,3 +251,36 @@ def test_missing_demand_price_and_forecast_are_not_numbers(spark):
     table = profiles.sku_profiles(spark.createDataFrame(clean, schema))
     out = rows(profiles.adaptive_forecast(spark.createDataFrame(gaps, schema), table).select("week", "adaptive_orders"), "week")
     assert [x is None for _, x in out] == [False, False, True]
+
+
+@pytest.mark.parametrize("grid", [1, 7, 64, drift.GRID])
+def test_grid_counts_give_the_same_measures(spark, grid):
+    rng = random.Random(grid)
+    names = ["even", "moved", "skewed", "outlier", "ties", "apart", "constant", "one_side", "missing", "huge"]
+
+    def row(i):
+        base, x = i % 5 < 3, rng.gauss(0, 1)
+        side = "baseline" if base else "current"
+        return (
+            side, rng.random(), x + (0 if base else 0.3), math.exp(3 * x), 1e300 if i == 7 else x, float(rng.randint(-3, 3)) * 0.0 + rng.randint(0, 4),
+            rng.random() - (0 if base else 2), 5.0 if base else 5.0 + (i % 2) * 1e-9, x if base else None, None if i % 3 else float("nan"),
+            rng.choice([-1.7e308, 1.7e308, x, -0.0, float("inf")]),
+        )
+
+    sided = spark.createDataFrame([row(i) for i in range(1500)], "side string, " + ", ".join(f"{n} double" for n in names)).repartition(3)
+    plain, gridded = drift.side_counts(sided, names), drift.drift_counts(sided, names, grid=grid)
+
+    def measures(counts):
+        return rows(psi(counts), "feature"), rows(drift.ks_test(counts), "feature")
+
+    (p, k), (gridded_p, gridded_k) = measures(plain), measures(gridded)
+    assert gridded_k == k and [f for f, _ in gridded_p] == sorted(names)
+    assert [v for _, v in gridded_p] == pytest.approx([v for _, v in p], abs=1e-12)
+
+
+def test_grid_counts_open_few_cells(spark):
+    """20,000 values, 1000 cells: some 20 around the bin edges and those near the largest distance."""
+    value = "(id + 0.5) * if(id % 2 = 0, 1.0D, 0.8D) AS v"
+    sided = spark.range(20_000).selectExpr("if(id % 2 = 0, 'baseline', 'current') AS side", value)
+    assert drift.side_counts(sided, ["v"]).count() > 15_000
+    assert drift.drift_counts(sided, ["v"], grid=1000).count() < 3000
