@@ -1074,7 +1074,7 @@ ORACLES["boosted_facts"] = q(
 )
 ORACLES["challenger_rule"] = "SELECT true AS follows_rule, true AS measured"
 ORACLES["training_pipeline"] = q(
-    NATION,
+    PANEL,
     select=f"""SELECT count(*) FILTER (week > {VAL_END}) AS plan_rows, 0 AS negative_forecasts, 0 AS below_forecast,
   count(*) FILTER (week <= {TRAIN_END}) AS train_rows, count(*) FILTER (week > {VAL_END}) AS test_rows,
   true AS beats_median, true AS model_saved FROM panel""",

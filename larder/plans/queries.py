@@ -1283,7 +1283,7 @@ def training_pipeline(spark, d):
     """The whole run with boosted trees that stop by patience: what it read and wrote, and that it beats the baseline."""
     folder = fresh_folder(spark, "run")
     settings = replace(SETTINGS, boost=PATIENT_BOOST)
-    result = training.train(star.star_tables(spark, d, "nation"), settings, folder=folder, one_row_per_week=True)
+    result = training.train(star.star_tables(spark, d), settings, folder=folder, one_row_per_week=True)
     plan = artifacts.read_plan(spark, f"{folder}/data/processed/inventory_recommendations", result.plan.schema)
     metrics = artifacts.read_metrics(spark, f"{folder}/models/metrics", training.summary_row(result).schema)
     beaten = metrics.select(F.col("model_metrics.wmape") < F.col("baseline_metrics.wmape")).scalar()

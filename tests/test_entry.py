@@ -76,3 +76,18 @@ def test_no_python_and_no_nested_loop_in_the_plans(spark, small):
 def test_median_plan_drops_the_unused_way(spark, small):
     text = plan_of(group_median(panel(spark, small), ["center_id", "meal_id"], "num_orders", "m"))
     assert text.count("FileScan parquet [l_partkey") == 1
+
+
+def test_training_pipeline_trains_on_the_whole_panel(spark, small, monkeypatch):
+    """On the series of every supplier, not on sums by nation, which do not grow with the data."""
+
+    class Seen(Exception):
+        pass
+
+    def train(tables, *args, **options):
+        raise Seen(tables["train"].count())
+
+    monkeypatch.setattr("larder.plans.training.train", train)
+    with pytest.raises(Seen) as seen:
+        entry.queries()["training_pipeline"](spark, small)
+    assert seen.value.args[0] == panel(spark, small).count()
