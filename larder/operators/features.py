@@ -143,18 +143,26 @@ def feature_frame(
     impute: bool = True,
     one_row_per_week: bool = False,
     fit_on: DataFrame | None = None,
+    metadata: tuple[DataFrame, DataFrame] | None = None,
 ) -> tuple[DataFrame, list[str], dict[str, DataFrame]]:
-    """All features in order: price, promotion, calendar, history (if the target is there), codes.
+    """All features in order: price, promotion, calendar, codes, history (if the target is there).
 
     Returns the frame, the names of the feature columns and the category tables. ``fit_on`` limits the meal
-    means to some rows, such as the training weeks.
+    means to some rows, such as the training weeks. ``metadata`` holds centers and meals to join (``enrich``); given
+    here instead of joined before, their columns stay out of the history's shuffle.
     """
-    out = calendar_features(promo_features(relative_price(price_features(df), fit_on)))
-    out, tables = encode_categories(out, spec.categorical, mappings)
+    given = enrich(df, *metadata) if metadata else df
+    _, tables = encode_categories(given, spec.categorical, mappings)
+    out, history = df, []
     if spec.target in df.columns:
-        # Last, so that its shuffle carries the codes and not the joins before it.
+        # First, so that its shuffle carries the columns of ``df`` only; all others are worked out after it.
         out = history_features(
-            out, spec.lags, spec.windows, spec.keys, spec.target, one_row_per_week=one_row_per_week
+            df, spec.lags, spec.windows, spec.keys, spec.target, one_row_per_week=one_row_per_week
         )
+        history = out.columns[len(df.columns) :]
+    out = enrich(out, *metadata) if metadata else out
+    out = relative_price(price_features(out), df if fit_on is None else fit_on)
+    out, _ = encode_categories(calendar_features(promo_features(out)), spec.categorical, tables)
+    out = out.select(*[c for c in out.columns if c not in history], *history)
     names = feature_columns(out, spec.target)
     return (impute_zero(out, names) if impute else out), names, tables

@@ -79,9 +79,22 @@ def staged_panel(spark, d, grain="supplier") -> DataFrame:
     return stage(panel(spark, d, grain), "panel")
 
 
+def metadata(spark, d, grain="supplier") -> tuple[DataFrame, DataFrame]:
+    return stage(star.centers(spark, d, grain), "centers"), stage(star.meals(spark, d), "meals")
+
+
 def enriched(spark, d, grain="supplier", staged=False) -> DataFrame:
     fact = staged_panel(spark, d, grain) if staged else panel(spark, d, grain)
-    return features.enrich(fact, stage(star.centers(spark, d, grain), "centers"), stage(star.meals(spark, d), "meals"))
+    return features.enrich(fact, *metadata(spark, d, grain))
+
+
+def whole_frame(spark, d, grain="supplier", **options) -> tuple[DataFrame, list[str]]:
+    """The feature frame of the panel with the metadata, and the names of its features."""
+    fact = staged_panel(spark, d, grain)
+    frame, names, _ = features.feature_frame(
+        fact, one_row_per_week=True, metadata=metadata(spark, d, grain), **options
+    )
+    return frame, names
 
 
 def priced(df: DataFrame) -> DataFrame:
@@ -134,7 +147,7 @@ def dirty_tables(spark, d) -> dict[str, DataFrame]:
 
 def boosted_frame(spark, d) -> tuple[DataFrame, list[str]]:
     """Feature frame by nation for the tree models, written once."""
-    frame, names, _ = features.feature_frame(enriched(spark, d, "nation", staged=True), one_row_per_week=True)
+    frame, names = whole_frame(spark, d, "nation")
     return stage(frame, "features"), names
 
 
@@ -166,7 +179,7 @@ def load_tables(spark, d):
 
 def _written_features(spark, d) -> str:
     folder = fresh_folder(spark, "features")
-    frame = series.history_features(priced(panel(spark, d)), one_row_per_week=True)
+    frame = priced(series.history_features(panel(spark, d), one_row_per_week=True))
     artifacts.write_features(frame, folder)
     return folder
 
@@ -356,7 +369,7 @@ def time_split(spark, d):
 @query
 def select_features(spark, d):
     """Every feature column of the whole frame: prices, promotions, calendar, history and codes."""
-    frame, _, _ = features.feature_frame(enriched(spark, d, staged=True), impute=False, one_row_per_week=True)
+    frame, _ = whole_frame(spark, d, impute=False)
     return tidy(frame.select(*features.feature_columns(frame)), 4)
 
 
@@ -636,8 +649,10 @@ def sku_profile(spark, d):
 
 @query
 def sku_profile_colocated(spark, d):
-    """Profiles from a table that is written by series."""
-    return profiles.sku_profiles(SeriesTable.write(_profile_input(spark, d), fresh_folder(spark, "series")).series())
+    """Profiles from a table that is written by series; what each row gives by itself is worked out on reading."""
+    df = staged_panel(spark, d)
+    scored = MedianForecaster().fit(df.filter(F.col("week") <= SPLIT.train_end)).transform(df)
+    return profiles.sku_profiles(priced(SeriesTable.write(scored, fresh_folder(spark, "series")).series()))
 
 
 @query
@@ -1091,7 +1106,7 @@ def drift_report(spark, d):
 
 @query
 def feature_frame(spark, d):
-    frame, names, _ = features.feature_frame(enriched(spark, d, staged=True), one_row_per_week=True)
+    frame, names = whole_frame(spark, d)
     return tidy(frame.select("id", *names), 4)
 
 
@@ -1226,7 +1241,7 @@ def stress_test(spark, d):
 
 
 def _loop(spark, d, champion=None, **options) -> tuple[adaptive.AdaptiveLoop, DataFrame]:
-    df = stage(priced(panel(spark, d)), "priced")
+    df = priced(staged_panel(spark, d))
     champion = champion or MedianForecaster().fit(df.filter(F.col("week") <= SPLIT.train_end))
     log = adaptive.FeedbackLog(spark, fresh_folder(spark, "feedback"))
     return adaptive.AdaptiveLoop(champion, log, **options), df

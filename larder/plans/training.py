@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
 from ..operators.boosted import BoostedForecaster
-from ..operators.features import enrich, feature_frame
+from ..operators.features import feature_frame
 from ..operators.forecast import FORECAST, Forecaster, MedianForecaster, score
 from ..operators.inventory import plan_totals, residual_rmse, stock_plan
 from ..operators.split import time_split
@@ -54,8 +54,10 @@ def train(
     target = settings.features.target
     spark = tables["train"].sparkSession
     source = stage(tables["train"], "train")
-    merged = enrich(source, stage(tables["centers"], "centers"), stage(tables["meals"], "meals"))
-    frame, features, mappings = feature_frame(merged, settings.features, one_row_per_week=one_row_per_week)
+    metadata = (stage(tables["centers"], "centers"), stage(tables["meals"], "meals"))
+    frame, features, mappings = feature_frame(
+        source, settings.features, one_row_per_week=one_row_per_week, metadata=metadata
+    )
     place = f"{folder}/data/processed/merged_features" if folder else fresh_folder(spark, "features")
     artifacts.write_features(frame, place)
     split = settings.split
@@ -64,15 +66,17 @@ def train(
     validation = artifacts.read_features(spark, place, split.train_end + 1, split.val_end)
     test = artifacts.read_features(spark, place, split.val_end + 1)
 
-    baseline = MedianForecaster(settings.features.keys, target).fit(train_part)
+    baseline = MedianForecaster(settings.features.keys, target)
     model = forecaster or BoostedForecaster(features, settings.boost, target, settings.features.log_target)
     model.fit(train_part, validation)
-    scored, checked = stage(model.transform(test), "test-scored"), stage(model.transform(validation), "val-scored")
-    plan = plan_for(scored, checked, settings, target)
-    plan = stage(plan, "plan")
+    # The plan holds the scored test weeks; of the validation weeks only the residuals are used.
+    checked = stage(model.transform(validation).select(target, FORECAST), "val-scored")
+    plan = stage(plan_for(model.transform(test), checked, settings, target), "plan")
+    metrics = score(plan, target)
+    same = type(model) is MedianForecaster and (model.keys, model.target) == (baseline.keys, baseline.target)
     result = TrainingResult(
-        baseline_metrics=baseline.evaluate(test),
-        model_metrics=score(scored, target),
+        baseline_metrics=metrics if same else baseline.fit(train_part).evaluate(test),
+        model_metrics=metrics,
         totals=plan_totals(plan),
         plan=plan,
         top_features=model.importances(15) if isinstance(model, BoostedForecaster) else None,

@@ -15,10 +15,11 @@ BUCKET = "week_bucket"
 def write_features(df: DataFrame, folder: str) -> None:
     """Feature table, partitioned by blocks of weeks so that a time split reads only its part.
 
-    The rebalance hint gathers each block into files of even size and splits a block that is large.
+    Each task writes one file per block that it holds rows of. Blocks are few, and the tasks of a frame that comes out
+    of a shuffle are large, so gathering the wide rows by block would be one more shuffle of the whole table for nothing.
     """
     bucketed = df.withColumn(BUCKET, F.floor((F.col("week") - 1) / WEEKS_PER_BUCKET).cast("int"))
-    bucketed.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+    bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
 
 
 def read_features(spark: SparkSession, folder: str, first_week: int | None = None, last_week: int | None = None) -> DataFrame:

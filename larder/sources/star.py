@@ -40,12 +40,30 @@ def meal_number(spark: SparkSession, folder: str) -> Column:
     return (F.lit(FIRST_MEAL - 1) + F.array_position(types, F.col("p_type"))).cast("int")
 
 
+def hundredths(c: str, precision: int) -> Column:
+    """A double as a whole number of hundredths, rounded like its cast to ``decimal(precision, 2)``.
+
+    Values with two digits, which up to 15 digits a double holds apart, need no decimal; all others go through one.
+    """
+    value = F.col(c)
+    near = F.rint(value * 100)
+    plain = (F.abs(near) < F.lit(10.0 ** min(precision, 15))) & (near / 100 == value)
+    return F.when(plain, near.cast("bigint")).otherwise((value.cast(f"decimal({precision},2)") * 100).cast("bigint"))
+
+
+def _decimal_sum(total: Column, digits: int) -> Column:
+    """The double next to ``total`` shifted by ``digits``; whole numbers up to 2**53 are exact doubles themselves."""
+    exact = (total.cast("decimal(20,0)") * F.lit(f"1e-{digits}").cast(f"decimal({digits},{digits})")).cast("double")
+    return F.when(F.abs(total) < F.lit(2**53), total.cast("double") / F.lit(10.0**digits)).otherwise(exact)
+
+
 def demand_panel(spark: SparkSession, folder: str, grain: str = "supplier") -> DataFrame:
     """The ``train`` table: weekly price, promotion flags and demand per center and meal.
 
-    Only the needed columns are read. Sums run over decimals, so the result does not depend on the
-    order of the rows. The aggregation combines on the map side, hence a hot supplier or part type
-    reaches the shuffle as one row per week and task.
+    Only the needed columns are read. Sums run over whole hundredths (prices less discount: ten-thousandths), so the
+    result does not depend on the order of the rows and a group is a few fixed-width numbers in the shuffle; a sum beyond
+    9 * 10**18 of them is an error in Spark's ANSI mode. The aggregation combines on the map side, hence a hot supplier
+    or part type reaches the shuffle as one row per week and task.
     """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}, got {grain!r}")
@@ -53,12 +71,14 @@ def demand_panel(spark: SparkSession, folder: str, grain: str = "supplier") -> D
         (F.floor(F.datediff("l_shipdate", F.lit("1995-01-01").cast("date")) / 7) + 1).cast("int").alias("week"),
         "l_partkey",
         F.col("l_suppkey").alias("center_id"),
-        F.col("l_quantity").cast("decimal(18,2)").alias("q"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("e"),
-        F.col("l_discount").cast("decimal(4,2)").alias("disc"),
+        hundredths("l_quantity", 18).alias("q"),
+        hundredths("l_extendedprice", 18).alias("e"),
+        hundredths("l_discount", 4).alias("disc"),
         (F.col("l_returnflag") == "R").cast("int").alias("returned"),
     )
-    parts = read(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    # The number of a type, not its name, so that the shuffles carry no strings.
+    meal = meal_number(spark, folder).alias("meal_id")
+    parts = read(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), meal)
     lines = lines.join(parts, "l_partkey")
     if grain != "supplier":
         lines = (
@@ -73,27 +93,28 @@ def demand_panel(spark: SparkSession, folder: str, grain: str = "supplier") -> D
         # nation has one row per nation, a few dozen by definition
         nations = read(spark, folder, "nation").select(F.col("n_nationkey").alias("center_id"), "n_regionkey")
         lines = lines.join(nations, "center_id").drop("center_id").withColumnRenamed("n_regionkey", "center_id")
-    q = F.sum("q").cast("double")
-    weekly = lines.groupBy("week", "center_id", "p_type").agg(
-        (F.sum(F.col("e") * (1 - F.col("disc"))).cast("double") / q).alias("checkout_price"),
-        (F.sum("e").cast("double") / q).alias("base_price"),
-        (1000 * F.sum("disc") >= 55 * F.count(F.lit(1))).cast("int").alias("emailer_for_promotion"),
+    q = _decimal_sum(F.sum("q"), 2)
+    weekly = lines.groupBy("week", "center_id", "meal_id").agg(
+        (_decimal_sum(F.sum(F.col("e") * (100 - F.col("disc"))), 4) / q).alias("checkout_price"),
+        (_decimal_sum(F.sum("e"), 2) / q).alias("base_price"),
+        (10 * F.sum("disc") >= 55 * F.count(F.lit(1))).cast("int").alias("emailer_for_promotion"),
         (10 * F.sum("returned") >= 4 * F.count(F.lit(1))).cast("int").alias("homepage_featured"),
         q.alias("num_orders"),
     )
-    center, meal = F.col("center_id").cast("bigint"), meal_number(spark, folder)
+    center = F.col("center_id").cast("bigint")
+    # Unique by construction and ordered like (week, center, meal): no global numbering is needed.
+    number = F.col("week").cast("bigint") * 10**13 + center * 1000 + F.col("meal_id")
     return weekly.select(
-        # Unique by construction and ordered like (week, center, meal): no global numbering is needed.
-        (F.col("week").cast("bigint") * 10**13 + F.col("center_id").cast("bigint") * 1000).alias("id0"),
+        number.alias("id"),
         "week",
         center.alias("center_id"),
-        meal.alias("meal_id"),
+        "meal_id",
         "checkout_price",
         "base_price",
         "emailer_for_promotion",
         "homepage_featured",
         "num_orders",
-    ).select((F.col("id0") + F.col("meal_id")).alias("id"), "*").drop("id0")
+    )
 
 
 def centers(spark: SparkSession, folder: str, grain: str = "supplier") -> DataFrame:
