@@ -188,11 +188,12 @@ def exact_quantiles(
         counts = counts.withColumn("all_rows", F.lit(1))
     heavy = heavy_groups(counts, names, light_rows, [F.sum("weight").alias("n")])
 
-    whole = Window.partitionBy(*names)
-    upwards = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = Window.partitionBy(*names).orderBy("value")
+    upwards = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     light = counts.join(F.broadcast(heavy), names, "left_anti")
-    # The running window comes first: its sort then serves the other one too.
-    light = light.withColumn("upto", F.sum("weight").over(upwards)).withColumn("n", F.sum("weight").over(whole))
+    # One order for both, so one pass over the rows of a group gives the running total and the whole one.
+    light = light.select("*", F.sum("weight").over(upwards).alias("upto"), F.sum("weight").over(whole).alias("n"))
 
     # First pass over the heavy groups: rows per piece, a few numbers for each.
     splits = _splits(counts.join(F.broadcast(heavy.select(*names, "n")), names), names, F.col("value"), light_rows, pieces, F.first("n").alias("n"))
