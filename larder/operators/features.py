@@ -151,18 +151,24 @@ def feature_frame(
     means to some rows, such as the training weeks. ``metadata`` holds centers and meals to join (``enrich``); given
     here instead of joined before, their columns stay out of the history's shuffle.
     """
-    given = enrich(df, *metadata) if metadata else df
-    _, tables = encode_categories(given, spec.categorical, mappings)
-    out, history = df, []
-    if spec.target in df.columns:
-        # First, so that its shuffle carries the columns of ``df`` only; all others are worked out after it.
-        out = history_features(
-            df, spec.lags, spec.windows, spec.keys, spec.target, one_row_per_week=one_row_per_week
-        )
-        history = out.columns[len(df.columns) :]
-    out = enrich(out, *metadata) if metadata else out
-    out = relative_price(price_features(out), df if fit_on is None else fit_on)
-    out, _ = encode_categories(calendar_features(promo_features(out)), spec.categorical, tables)
-    out = out.select(*[c for c in out.columns if c not in history], *history)
+    past = spec.target in df.columns
+
+    def history(rows: DataFrame) -> DataFrame:
+        return history_features(rows, spec.lags, spec.windows, spec.keys, spec.target, one_row_per_week=one_row_per_week)
+
+    def derived(rows: DataFrame) -> DataFrame:
+        return calendar_features(promo_features(relative_price(price_features(rows), df if fit_on is None else fit_on)))
+
+    if metadata:
+        # History first, so that its shuffle carries the columns of ``df`` only. For a frame that is written as it is.
+        _, tables = encode_categories(enrich(df, *metadata), spec.categorical, mappings)
+        out = history(df) if past else df
+        added = out.columns[len(df.columns) :]
+        out, _ = encode_categories(derived(enrich(out, *metadata)), spec.categorical, tables)
+        out = out.select(*[c for c in out.columns if c not in added], *added)
+    else:
+        # History last, so that its shuffle carries the codes, and no later step repeats the other features' expressions.
+        out, tables = encode_categories(derived(df), spec.categorical, mappings)
+        out = history(out) if past else out
     names = feature_columns(out, spec.target)
     return (impute_zero(out, names) if impute else out), names, tables

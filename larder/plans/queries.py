@@ -90,10 +90,8 @@ def enriched(spark, d, grain="supplier", staged=False) -> DataFrame:
 
 def whole_frame(spark, d, grain="supplier", **options) -> tuple[DataFrame, list[str]]:
     """The feature frame of the panel with the metadata, and the names of its features."""
-    fact = staged_panel(spark, d, grain)
-    frame, names, _ = features.feature_frame(
-        fact, one_row_per_week=True, metadata=metadata(spark, d, grain), **options
-    )
+    fact = enriched(spark, d, grain, staged=True)
+    frame, names, _ = features.feature_frame(fact, one_row_per_week=True, **options)
     return frame, names
 
 
