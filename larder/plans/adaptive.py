@@ -251,6 +251,25 @@ def batch_scores(corrected: DataFrame, actual: str = "num_orders") -> DataFrame:
     return row.withColumn("improvement_pct", improvement_pct(F.col("champion_wmape"), F.col("adaptive_wmape")))
 
 
+WHO = {"champion": FORECAST, "adaptive": "adaptive_orders"}
+
+
+def both_sums(actual: str = "num_orders") -> list[Column]:
+    """The sums behind the measures of champion and corrected forecasts, to be observed while a batch is written."""
+    return [c.alias(f"{who}_{n}") for who, p in WHO.items() for n, c in zip(scores.SUM_NAMES, scores.error_sums(actual, p))]
+
+
+def observed_scores(spark: SparkSession, sums: dict[str, float | None]) -> DataFrame:
+    """The row of ``batch_scores`` from observed ``both_sums``."""
+    kind = {name: "bigint" if name == "pairs" else "double" for name in scores.SUM_NAMES}
+    row = spark.range(1).select("id")
+    for who in WHO:
+        found = [F.lit(sums[f"{who}_{name}"]).cast(kind[name]).alias(name) for name in scores.SUM_NAMES]
+        row = row.withColumns(dict(zip(scores.SUM_NAMES, found))).withColumn(f"{who}_wmape", scores.from_sums()["wmape"])
+    improved = improvement_pct(F.col("champion_wmape"), F.col("adaptive_wmape")).alias("improvement_pct")
+    return row.select(*[f"{who}_wmape" for who in WHO], improved)
+
+
 class ChampionShelf:
     """Champions by the number of the batch that promoted them: one folder each, written by Spark.
 
@@ -327,12 +346,12 @@ class AdaptiveLoop:
         corrected, self.profiles = correct_batch(batch, self.champion, actual, self.rate)
         if self.profiles_folder:
             self.profiles.write.mode("overwrite").parquet(f"{self.profiles_folder}/batch_id={number}")
-        row = batch_scores(corrected, actual).first()
+        # The batch is scored while it is logged: its profiles are looked up once for both.
+        seen = Observation()
+        realized = corrected.observe(seen, *both_sums(actual)).withColumn(FORECAST, F.col("adaptive_orders"))
+        self.log.record(realized.withColumn("actual_orders", F.col(actual).cast("double")), number)
+        row = observed_scores(self.log.spark, seen.get).first()
         result = LoopResult(row.champion_wmape, row.adaptive_wmape, improvement_pct=row.improvement_pct)
-        realized = corrected.withColumn(FORECAST, F.col("adaptive_orders")).withColumn(
-            "actual_orders", F.col(actual).cast("double")
-        )
-        self.log.record(realized, number)
 
         if result.champion_wmape > WMAPE_LIMIT:
             result.reasons.append(ABOVE_LIMIT)

@@ -1238,17 +1238,22 @@ def stress_test(spark, d):
     return scenarios.stress_test(frame, model)
 
 
-def _loop(spark, d, champion=None, **options) -> tuple[adaptive.AdaptiveLoop, DataFrame]:
-    df = priced(staged_panel(spark, d))
-    champion = champion or MedianForecaster().fit(df.filter(F.col("week") <= SPLIT.train_end))
+def _loop(spark, d, **options) -> tuple[adaptive.AdaptiveLoop, DataFrame]:
+    """The loop with the median of the training weeks as its champion, and the test weeks.
+
+    Both are taken from the panel by themselves: the median needs the demand of its weeks only, so neither their prices
+    and flags are summed and shuffled nor is the whole panel written, which is far larger than the test weeks.
+    """
+    whole = panel(spark, d)
+    champion = MedianForecaster().fit(whole.filter(F.col("week") <= SPLIT.train_end))
     log = adaptive.FeedbackLog(spark, fresh_folder(spark, "feedback"))
-    return adaptive.AdaptiveLoop(champion, log, **options), df
+    return adaptive.AdaptiveLoop(champion, log, **options), priced(stage(test_weeks(whole), "panel"))
 
 
 @query
 def adaptive_loop(spark, d):
     loop, df = _loop(spark, d)
-    r = loop.process(test_weeks(df))
+    r = loop.process(df)
     row = (r.champion_wmape, r.adaptive_wmape, r.improvement_pct, r.retrain, len(r.reasons))
     return spark.createDataFrame(
         [row],
@@ -1347,10 +1352,10 @@ def model_comparison(spark, d):
 def run_stream(spark, d) -> tuple[FeedbackStream, str]:
     """Test weeks arrive in blocks of weeks; the job is started after each arrival."""
     profiles_folder = fresh_folder(spark, "profile-state")
-    loop, df = _loop(spark, d, profiles_folder=profiles_folder)
-    landing, source = fresh_folder(spark, "landing"), test_weeks(df)
+    loop, source = _loop(spark, d, profiles_folder=profiles_folder)
+    landing = fresh_folder(spark, "landing")
     source.limit(0).write.parquet(landing)
-    stream = FeedbackStream(spark, landing, df.schema, loop, fresh_folder(spark, "stream"))
+    stream = FeedbackStream(spark, landing, source.schema, loop, fresh_folder(spark, "stream"))
     first, last = SPLIT.val_end + 1, SPLIT.total
     for start in range(first, last + 1, ARRIVAL_WEEKS):
         split.week_range(source, start, start + ARRIVAL_WEEKS - 1).write.mode("append").parquet(landing)
