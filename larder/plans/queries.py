@@ -647,10 +647,13 @@ def sku_profile(spark, d):
 
 @query
 def sku_profile_colocated(spark, d):
-    """Profiles from a table that is written by series; what each row gives by itself is worked out on reading."""
-    df = staged_panel(spark, d)
-    scored = MedianForecaster().fit(df.filter(F.col("week") <= SPLIT.train_end)).transform(df)
-    return profiles.sku_profiles(priced(SeriesTable.write(scored, fresh_folder(spark, "series")).series()))
+    """Profiles from a panel that is written by series; the forecast and what each row gives are worked out on reading.
+
+    The panel is read three times to write it, so it is written without its forecast, whose lookup would run three times.
+    """
+    table = SeriesTable.write(staged_panel(spark, d), fresh_folder(spark, "series")).series()
+    model = MedianForecaster().fit(table.filter(F.col("week") <= SPLIT.train_end))
+    return profiles.sku_profiles(priced(model.transform(table)))
 
 
 @query

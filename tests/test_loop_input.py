@@ -8,8 +8,10 @@ from panels import store_panel
 from pyspark.sql import functions as F
 
 from larder.operators.forecast import FORECAST, MedianForecaster
+from larder.operators.heavy import heavy_groups
 from larder.plans import adaptive, queries
 from larder.session import fresh_folder
+from larder.sources.colocated import SeriesTable
 
 
 def test_loop_writes_the_test_weeks_only(spark, small, monkeypatch):
@@ -50,3 +52,21 @@ def test_scores_of_a_batch_without_pairs(spark):
     df = store_panel(spark, 5).withColumn(FORECAST, F.lit(None).cast("double")).withColumn("adaptive_orders", F.col(FORECAST))
     sums = df.agg(*adaptive.both_sums()).first().asDict()
     assert tuple(adaptive.observed_scores(spark, sums).first()) == tuple(adaptive.batch_scores(df).first()) == (0.0, 0.0, 0.0)
+
+
+def test_light_groups_are_not_counted_one_by_one(spark):
+    df = spark.range(40_000).select((F.col("id") % 10_000).alias("k"), F.lit(None).cast("int").alias("gap"))
+    found = heavy_groups(df, ["k", "gap"])
+    assert found.collect() == []
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert "hashpartitioning(k" not in final
+    mixed = df.filter("k < 3").unionByName(df.filter("k = 7 OR k = 8")).unionByName(df.filter("k = 7"))
+    assert rows(heavy_groups(mixed, ["k"], 4, [F.max("k").alias("most")]), "k") == [(7, 8, 7)]
+
+
+def test_series_are_written_before_the_forecast_is_looked_up(spark, small, monkeypatch):
+    written, write = [], SeriesTable.write
+    monkeypatch.setattr(queries.SeriesTable, "write", lambda df, folder: written.append(df) or write(df, folder))
+    found = queries.QUERIES["sku_profile_colocated"](spark, small)
+    assert FORECAST not in written[0].columns and "Join" not in written[0]._jdf.queryExecution().executedPlan().toString()
+    assert sorted(rows(found)) == sorted(rows(queries.QUERIES["sku_profile"](spark, small)))
