@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import scores
 from ..functions.numbers import at_least, clean
 from ..sources.staging import stage
-from .heavy import exact_quantiles, group_median
+from .heavy import SPREAD, _all_set, _between, exact_quantiles, group_median, value_counts
 
 FORECAST = "forecast_orders"
 
@@ -96,6 +96,26 @@ def median_levels(df: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
     return count_medians(target_counts(df, keys, target), keys)
 
 
+def series_values(df: DataFrame, keys: Sequence[str], target: str, week: str = "week") -> DataFrame:
+    """(keys, values): the target of each series in increasing order, written; missing targets are left out.
+
+    For frames with one row per series and week, so that a list is never longer than the calendar. Rows without a full
+    key are no series; they are kept in lists dealt over the tasks.
+    """
+    rows = df.select(*keys, week, clean(target).alias("value")).filter("value IS NOT NULL")
+    apart = F.when(_all_set(keys), 0).otherwise(F.pmod(F.xxhash64(week, "value"), F.lit(SPREAD))).alias("apart")
+    lists = rows.groupBy(*keys, apart).agg(F.sort_array(F.collect_list("value")).alias("values"))
+    return stage(lists.drop("apart"), "series-values")
+
+
+def series_medians(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, group_median) of ``series_values`` rows, written; nothing is shuffled."""
+    place = (F.size("values") - 1) * F.lit(0.5)
+    low, high = F.get("values", F.floor(place).cast("int")), F.get("values", F.ceil(place).cast("int"))
+    median = _between(low, high, place - F.floor(place))
+    return stage(values.dropna(subset=list(keys)).select(*keys, median.alias("group_median")), "medians")
+
+
 def apply_medians(df: DataFrame, medians: DataFrame, overall: Column, keys: Sequence[str]) -> DataFrame:
     """Group median where the group is known, else the overall median, clipped at 0."""
     known = df.join(medians, list(keys), "left")
@@ -104,15 +124,33 @@ def apply_medians(df: DataFrame, medians: DataFrame, overall: Column, keys: Sequ
 
 
 class MedianForecaster(Forecaster):
-    """Baseline: the historical median of each group."""
+    """Baseline: the historical median of each group.
+
+    ``one_row_per_week`` tells that a group has one row for a week of the calendar (as after a group-by on the week). Its
+    values are then gathered in one shuffle and need not be counted first.
+    """
 
-    def __init__(self, keys: Sequence[str] = ("center_id", "meal_id"), target: str = "num_orders") -> None:
+    def __init__(
+        self,
+        keys: Sequence[str] = ("center_id", "meal_id"),
+        target: str = "num_orders",
+        one_row_per_week: bool = False,
+        week: str = "week",
+    ) -> None:
         self.keys, self.target = list(keys), target
+        self.one_row_per_week, self.week = one_row_per_week, week
         self.medians: DataFrame | None = None
         self.overall: float = 0.0
 
     def fit(self, df: DataFrame, validation: DataFrame | None = None) -> "MedianForecaster":
         keys = self.keys if set(self.keys) <= set(df.columns) else []
+        if keys and self.one_row_per_week:
+            values = series_values(df, keys, self.target, self.week)
+            self.medians = series_medians(values, keys)
+            each = values.select(F.explode("values").alias("value"))
+            whole = exact_quantiles(stage(value_counts(each, [], "value"), "value-counts"), [], [0.5]).first()
+            self.overall = whole.quantiles[0] if whole else 0.0
+            return self
         levels = median_levels(df, keys, self.target)
         whole = levels.filter("level = 0").first()
         self.overall = whole.median if whole else 0.0

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..config import FeatureSpec
-from .heavy import LIGHT_ROWS, _all_set, cut_series
+from .heavy import LIGHT_ROWS, SPREAD, _all_set, cut_series
 
 DEFAULT = FeatureSpec()
-SPREAD = 10_000  # parts that rows without a key are dealt into
 
 
 def lag_columns(target: str, lags: Sequence[int], window: WindowSpec, known: Column) -> list[Column]:

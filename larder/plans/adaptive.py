@@ -130,8 +130,9 @@ class FeedbackLog:
         )
         got = seen.get
         if got["sample_count"]:  # no rows replace nothing in the log either
-            one = self.spark.createDataFrame([tuple(got[name] for name in SUM_COLUMNS)], SUMS)
-            one.coalesce(1).write.mode("overwrite").parquet(f"{self.sums_folder}/batch_id={batch_id}")
+            kinds = dict(part.strip().split(" ") for part in SUMS.split(","))
+            one = self.spark.range(0, 1, 1, 1).select(*[F.lit(got[name]).cast(kinds[name]).alias(name) for name in SUM_COLUMNS])
+            one.write.mode("overwrite").parquet(f"{self.sums_folder}/batch_id={batch_id}")
 
     def rebuild_sums(self) -> None:
         """Work out the sums of all batches from the log, for one that was written without them."""

@@ -1248,7 +1248,7 @@ def _loop(spark, d, **options) -> tuple[adaptive.AdaptiveLoop, DataFrame]:
     and flags are summed and shuffled nor is the whole panel written, which is far larger than the test weeks.
     """
     whole = panel(spark, d)
-    champion = MedianForecaster().fit(whole.filter(F.col("week") <= SPLIT.train_end))
+    champion = MedianForecaster(one_row_per_week=True).fit(whole.filter(F.col("week") <= SPLIT.train_end))
     log = adaptive.FeedbackLog(spark, fresh_folder(spark, "feedback"))
     return adaptive.AdaptiveLoop(champion, log, **options), priced(stage(test_weeks(whole), "panel"))
 
