@@ -2,29 +2,18 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import tune
+from ..session import ship, tune
 from ..sources.staging import stage
 
 __all__ = ["documents", "read", "ready", "remainder", "stage"]
 
-_SHIPPED: set[str] = set()
-
 
 def ready(spark: SparkSession) -> SparkSession:
     """Sets the runtime options and sends this package to the executors, where it may not be installed."""
-    context = spark.sparkContext
-    if context.applicationId not in _SHIPPED:
-        package = Path(__file__).resolve().parents[1]
-        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
-        context.addPyFile(archive)
-        _SHIPPED.add(context.applicationId)
+    ship(spark)
     return tune(spark)
 
 

@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from ..config import BoostSpec
 from ..functions import scores
 from ..functions.numbers import at_least
-from ..session import fresh_folder, shared_folder
+from ..session import fresh_folder, remove, scratch, shared_folder, ship
 from ..sources.staging import stage
+from . import histograms
 from .forecast import FORECAST, Forecaster
 
 VECTOR, LABEL, RAW = "_features", "_label", "_raw"
 SO_FAR, RESIDUAL = "_so_far", "_residual"
 BLOCK = 10  # trees between two looks at the validation rows
+VECTOR_ROWS = 100_000  # training rows up to which trees with a patience are MLlib's own, which holds them as vectors
 
 
 class NotFitted(RuntimeError):
@@ -38,7 +40,8 @@ class BoostedForecaster(Forecaster):
 
     MLlib has no L2 penalty, and it measures gain per row, so no gain threshold is set. With a validation frame
     training stops once ``patience`` trees brought no improvement there, and the trees up to the best one are
-    kept. MLlib's own early stopping has no patience, so its trees are then fitted one by one to the residuals.
+    kept. MLlib's own early stopping has no patience, so its trees are then fitted one by one to the residuals; beyond
+    ``VECTOR_ROWS`` training rows they are grown from ``histograms``, which hold a byte for each row and feature.
     """
 
     def __init__(
@@ -56,9 +59,11 @@ class BoostedForecaster(Forecaster):
     def _assembler(self) -> VectorAssembler:
         return VectorAssembler(inputCols=self.features, outputCol=VECTOR, handleInvalid="keep")
 
+    def _label(self) -> Column:
+        return F.log1p(self.target) if self.log_target else F.col(self.target)
+
     def _prepare(self, df: DataFrame) -> DataFrame:
-        label = F.log1p(self.target) if self.log_target else F.col(self.target)
-        slim = df.select(*[F.col(c).cast("double").alias(c) for c in self.features], label.alias(LABEL))
+        slim = df.select(*[F.col(c).cast("double").alias(c) for c in self.features], self._label().alias(LABEL))
         return self._assembler().transform(slim).select(VECTOR, LABEL)
 
     def _regressor(self, trees: int) -> GBTRegressor:
@@ -148,6 +153,34 @@ class BoostedForecaster(Forecaster):
             steps.append(F.avg(F.pow(F.col(LABEL) - running, 2)).alias(f"e{k}"))
         return list(held.agg(*steps).first())
 
+    def _fit_binned(self, df: DataFrame, validation: DataFrame, count: int) -> GBTRegressionModel:
+        """The same boosting on binned rows; only the newest of their tables is kept, and none after the fit."""
+        spark, width, bins, label = df.sparkSession, len(self.features), self.max_bins, self._label()
+        trees, weights, errors = [], [], []
+        ship(spark)
+        with scratch(spark):
+            cuts = histograms.feature_cuts(df, self.features, count, bins, self.spec.seed)
+            place, held_place = fresh_folder(spark, "train-bins"), fresh_folder(spark, "validation-bins")
+            train = stage(histograms.binned(df, self.features, label, cuts, bins, strict=True), folder=place)
+            known = validation.filter(label.isNotNull())
+            held = stage(histograms.binned(known, self.features, label, cuts, bins, strict=False), folder=held_place)
+            while True:
+                first = len(trees)
+                for number in range(first, min(first + BLOCK, self.spec.trees)):
+                    trees.append(histograms.grow(train, trees[first:], weights[first:], self.spec, number, width, bins))
+                    weights.append(self.spec.rate if number else 1.0)
+                block = trees[first:], weights[first:], width, bins
+                errors += histograms.errors(held, *block)
+                best = self.best_length(errors)
+                if len(trees) >= self.spec.trees or len(trees) - best >= self.spec.patience:
+                    break
+                old, place, held_place = (place, held_place), fresh_folder(spark, "boosting"), fresh_folder(spark, "boosting")
+                train = stage(histograms.advanced(train, *block), folder=place)
+                held = stage(histograms.advanced(held, *block), folder=held_place)
+                for folder in old:
+                    remove(spark, folder)
+        return self._ensemble([tree.model(cuts) for tree in trees[:best]], weights[:best])
+
     def best_length(self, errors: Sequence[float]) -> int:
         """Number of trees at the lowest error seen before ``patience`` trees without a lower one."""
         best = 0
@@ -163,6 +196,11 @@ class BoostedForecaster(Forecaster):
         if missing:
             raise KeyError(f"missing feature columns: {missing[:5]}")
         shared_folder(df.sparkSession)  # where MLlib cuts the lineage of its tree iterations
+        if validation is not None and not validation.isEmpty():
+            count = df.count()
+            if count > VECTOR_ROWS:
+                self.model = self._fit_binned(df, validation, count)
+                return self
         # Read once per tree, so held in the executors; lost blocks come back from the staged table.
         train = stage(self._prepare(df), "train-vectors")
         if validation is not None:

@@ -13,7 +13,7 @@ from ..operators.features import feature_frame
 from ..operators.forecast import FORECAST, Forecaster, MedianForecaster, score
 from ..operators.inventory import plan_totals, residual_rmse, stock_plan
 from ..operators.split import time_split
-from ..session import fresh_folder
+from ..session import fresh_folder, remove, short_shuffles
 from ..sources import artifacts
 from ..sources.staging import stage
 
@@ -49,19 +49,29 @@ def train(
     """Features, baseline, model, plan and totals; everything is written when a folder is given.
 
     The features are written once and read back by every later step, so none of them repeats the joins
-    and windows, and the splits open only their weeks.
+    and windows, and the splits open only their weeks. The panel itself and the shuffles are removed as soon as
+    nothing reads them any more.
     """
+    with short_shuffles(tables["train"].sparkSession):
+        return _train(tables, settings, forecaster, folder, one_row_per_week)
+
+
+def _train(
+    tables: dict[str, DataFrame], settings: Settings, forecaster: Forecaster | None, folder: str | None, one_row_per_week: bool
+) -> TrainingResult:
     target = settings.features.target
     spark = tables["train"].sparkSession
-    source = stage(tables["train"], "train")
+    fact = fresh_folder(spark, "train")
+    source = stage(tables["train"], folder=fact)
     metadata = (stage(tables["centers"], "centers"), stage(tables["meals"], "meals"))
     frame, features, mappings = feature_frame(
         source, settings.features, one_row_per_week=one_row_per_week, metadata=metadata
     )
     place = f"{folder}/data/processed/merged_features" if folder else fresh_folder(spark, "features")
-    artifacts.write_features(frame, place)
     split = settings.split
     time_split(frame, split=split)  # raises on a wrong split
+    artifacts.write_features(frame, place)
+    remove(spark, fact)
     train_part = artifacts.read_features(spark, place, last_week=split.train_end)
     validation = artifacts.read_features(spark, place, split.train_end + 1, split.val_end)
     test = artifacts.read_features(spark, place, split.val_end + 1)

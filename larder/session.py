@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +30,19 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, where it may not be installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
 def local_session(cores: int | str = "*", app: str = "larder", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and the bench; on a cluster the session comes from spark-submit."""
     builder = (
@@ -86,8 +101,30 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _SCRATCH.reset(token)
-        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a written table that nothing will read again; nothing happens if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside the block a query's shuffle files go when it ends, not when the driver collects its garbage.
+
+    For work that writes its steps: a frame that is evaluated twice shuffles twice.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
